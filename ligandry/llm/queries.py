@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, huffman, packing, substring
+from . import fingerprint, huffman, licenses, packing, substring, urls
 from .common import table
 
 
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_edited(table(spark, sf_dir, "documents"))
 
@@ -22,9 +26,13 @@ def op5_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.round_trip(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and callable(f)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_url_rules": urls.oracle_sql()}
