@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, huffman, licenses, packing, substring, urls
+from . import decontam, fingerprint, huffman, licenses, lm, packing, quality, substring, urls
 from .common import table
 
 
+def op1_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text")
+
+
 def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
@@ -30,9 +34,18 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "coverage", "n_tiles", "n_covered")
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and callable(f)}
 ORACLE_SQL: dict[str, str] = {"op2_url_rules": urls.oracle_sql()}
