@@ -1,13 +1,49 @@
-"""Corpus pipeline: five stages from raw documents to packed training sequences."""
+"""Corpus pipeline: from raw documents to packed training sequences in five stages.
+
+Each stage takes (spark, docs, sf_dir), works on every row of docs and returns the documents it keeps, with the columns
+of documents; the last returns the packed pieces. run() writes each stage's rows and reads them for the next.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+from ligandry.llm import decontam, minhash, packing, quality, substring
+from ligandry.llm.common import table, without, written
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality.good(docs, table(spark, sf_dir, "labels"))
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked at 0.8 on shingles of five words, the one with the smallest doc_id."""
+    return without(docs, minhash.near_duplicates(docs).where("NOT kept").select("doc_id"))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without passages that an earlier one has too; a text may become empty."""
+    return substring.without_repeats(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak no benchmark item."""
+    return without(docs, decontam.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 2048 tokens and their places in sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [("quality classifier", keep_good), ("near-dedup", keep_one_of_near_copies), ("substring dedup", cut_repeats), ("decontamination", drop_leaks), ("packing", pack)]
+#: Learned scores, fuzzy candidates and token ids can't be had in SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir: str):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), "stage")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -53,6 +53,16 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more)
 
 
+#: Ids that may be broadcast, after counting them; more of them are joined by shuffle.
+BROADCAST_IDS = 500_000
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose doc_id is not in ids (one column, doc_id). A null doc_id stays."""
+    gone = written(ids.where("doc_id IS NOT NULL").distinct(), "gone")
+    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti").select(*docs.columns)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -77,7 +77,7 @@ def _pack(path: str, end_id: int, length: int, open_bins: int, with_ids: bool):
             kinds = (pa.int64(), pa.int32(), *[pa.int64()] * 5)
             columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)]
             names = [f.split()[0] for f in FIELDS.split(", ")]
-            yield pa.RecordBatch.from_arrays(columns + [pa.array(parts, pa.list_(pa.int64()))] * with_ids, names + ["ids"] * with_ids)
+            yield pa.RecordBatch.from_arrays(columns + [pa.array([p.astype(np.int32) for p in parts], pa.list_(pa.int32()))] * with_ids, names + ["ids"] * with_ids)
 
     return run
 
@@ -88,4 +88,4 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, length:
     A document's ids end with end_id, so an empty or null text is one piece of one token. Only documents of over length
     tokens are cut. Rows with equal or null doc_id are packed like any others. No rows give no pieces.
     """
-    return texts(docs).mapInArrow(_pack(tokenizer or tokens.default_path(), end_id, length, open_bins, with_ids), FIELDS + ", ids array<long>" * with_ids)
+    return texts(docs).mapInArrow(_pack(tokenizer or tokens.default_path(), end_id, length, open_bins, with_ids), FIELDS + ", ids array<int>" * with_ids)

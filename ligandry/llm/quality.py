@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import SPACES, lower_ascii, texts, word_hashes
 
@@ -23,6 +24,7 @@ from .common import SPACES, lower_ascii, texts, word_hashes
 FIT_ROWS, DIMENSIONS, NEIGHBOURS, THRESHOLD = 4_000, 48, 25, 0.3
 HASHED, SHAPES = 512, 512
 TERMS = HASHED + SHAPES
+SCORE = "_quality_score"
 
 
 def shapes(raw: bytes, words: np.ndarray) -> np.ndarray:
@@ -107,25 +109,35 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Voter:
     return Voter(bags[order], np.array([r.quality for r in found])[order])
 
 
-def _score(shared):
+def _score(shared, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voter = pickle.loads(shared.value)
         for batch in batches:
-            all_texts = batch.column(0).to_pylist()
-            scores = [voter.score(np.array([bag(t) for t in all_texts[a : a + 512]], np.float32)) for a in range(0, len(all_texts), 512)]
-            rest = [batch.column(i) for i in range(1, batch.num_columns)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *rest, pa.array(np.concatenate(scores) if scores else [], pa.float64())], [*batch.schema.names, "score"])
+            all_texts = batch.column(text_at).to_pylist()
+            scores = [voter.score(np.array([bag(t or "") for t in all_texts[a : a + 512]], np.float32)) for a in range(0, len(all_texts), 512)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(scores) if scores else [], pa.float64())], [*batch.schema.names, SCORE])
 
     return run
 
 
+def scored(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+    """The rows of docs, all columns, with SCORE added."""
+    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(fit(docs, labels, rows)))
+    schema = T.StructType([*docs.schema.fields, T.StructField(SCORE, T.DoubleType())])
+    return docs.mapInArrow(_score(shared, docs.columns.index("text")), schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows: int = FIT_ROWS) -> DataFrame:
-    """doc_id, text, held_out, score, predicted of every document.
+    """doc_id, held_out, score, predicted of every document.
 
     Null and empty texts have no terms and get the sample's share of label 1. Labels that are null or neither 0 nor 1 are
     not used; of a document's labels the lowest counts; without any, all scores are 0.5. Equal texts get equal scores. A
     null doc_id is not held out and never trains.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(fit(docs, labels, rows)))
-    scored = texts(docs).select("text", "doc_id").mapInArrow(_score(shared), "text string, doc_id long, score double")
-    return scored.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    found = scored(docs.select("doc_id", "text"), labels, rows)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col(SCORE).alias("score"), (F.col(SCORE) >= threshold).cast("int").alias("predicted"))
+
+
+def good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows: int = FIT_ROWS) -> DataFrame:
+    """The documents that the classifier accepts, unchanged."""
+    return scored(docs, labels, rows).where(F.col(SCORE) >= threshold).drop(SCORE)

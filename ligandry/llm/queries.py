@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, fingerprint, huffman, licenses, lm, packing, quality, substring, urls
+from . import decontam, fingerprint, huffman, licenses, lm, minhash, packing, quality, substring, urls
 from .common import table
 
 
 def op1_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text")
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 
 
+def op8_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 

@@ -13,7 +13,7 @@ once for each row.
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import shingle_hashes, shuffle_partitions, word_hashes, written
 
@@ -227,8 +228,8 @@ def _cut(window: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, m: int = M, bucket_factor: int = 8) -> DataFrame:
-    """doc_id, text, n_words, n_removed, kept_text of every document.
+def remove_repeats(docs: DataFrame, window: int = WINDOW, m: int = M, bucket_factor: int = 8, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, text, carried (the columns named in carry), n_words, n_removed, kept_text of every document.
 
     Words are runs of bytes other than ASCII white space, compared unchanged. A null text has none. A row without doc_id is
     neither earlier nor later than any other and is kept whole. Rows with equal doc_id count as one document: none removes
@@ -238,11 +239,23 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, m: int = M, bucket_fac
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
     buckets = bucket_factor * parts
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    keyed = rows.withColumn("tkey", F.xxhash64("text"))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *([F.struct(*carry).alias("carried")] if carry else [])).withColumn("tkey", F.xxhash64("text"))
     dealt = keyed.where("doc_id is not null").select("doc_id", "tkey", "text").mapInArrow(_deal(window, m, buckets), "bucket long, doc_id long, tkey long, blob binary")
     met = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_match(window, buckets), "bucket long, doc_id long, tkey long, blob binary")
     settled = written(met.select("doc_id", "tkey", "blob"), "windows")
     found = settled.groupBy("doc_id", "tkey").agg(F.collect_list("blob").alias("found"))
-    joined = keyed.join(found, ["doc_id", "tkey"], "left").select("doc_id", "text", "found")
-    return joined.mapInArrow(_cut(window), "doc_id long, text string, n_words long, n_removed long, kept_text string")
+    joined = keyed.join(found, ["doc_id", "tkey"], "left").drop("tkey")
+    kept = [f for f in joined.schema.fields if f.name != "found"]
+    counted = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
+    return joined.mapInArrow(_cut(window), T.StructType([*kept, *counted]))
+
+
+def without_repeats(docs: DataFrame, **how) -> DataFrame:
+    """The documents with repeated words gone from text; those that lose none keep their text as it was."""
+    carry = [c for c in docs.columns if c not in ("doc_id", "text")]
+    cut = remove_repeats(docs, carry=carry, **how)
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    new = {"doc_id": F.col("doc_id"), "text": text} | {c: F.col(f"carried.`{c}`") for c in carry}
+    if "n_chars" in new:
+        new["n_chars"] = F.length(text).cast("long")
+    return cut.select(*[new[c].alias(c) for c in docs.columns])
