@@ -91,13 +91,13 @@ def consistent(stats: DataFrame, std: float, spread: float) -> DataFrame:
     return stats.filter((F.col("std") < std) & (F.abs(F.col("max") - F.col("min")) < spread))
 
 
-def earliest_rows(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
+def earliest_rows(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The first row of each key in that order, by one hash aggregate."""
     first = df.groupBy(key).agg(F.min_by(F.struct(*[c for c in df.columns if c != key]), F.struct(*order)).alias("row"))
     return first.select(key, "row.*")
 
 
-def representatives(df: DataFrame, key: str, value: str, order: list[Column], std: float, spread: float) -> DataFrame:
+def representatives(df: DataFrame, key: str, value: str, order: list[str], std: float, spread: float) -> DataFrame:
     """The earliest row of each consistent key, its value replaced by the mean, with min, max, std and count.
 
     One aggregate gives statistics and row together, so activities are shuffled once. Null values are no evidence: a key
@@ -142,5 +142,5 @@ def curate(df: DataFrame, p: AssayParams) -> DataFrame:
     gaps = (1.0, 3.0) if p.standard_type in ("Ki", "Kd") else (3.0,)
     if measurement(p.standard_type).potency:
         done = drop_suspicious(done, suspicious_keys(done, key, label, p.error_margin, gaps), key)
-    order = [F.col("document_year"), *[F.col(c) for c in sorted(c for c in df.columns if c not in (key, "document_year"))]]
+    order = ["document_year", *sorted(c for c in df.columns if c not in (key, "document_year"))]
     return representatives(done, key, label, order, p.std_threshold, p.range_threshold)
