@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from .common import shingle_hashes, shuffle_partitions, word_hashes, written
 
-WINDOW, M, CHUNK = 13, 4, 12 << 20
+WINDOW, M, CHUNK = 13, 4, 4 << 20
 
 
 def _codes(words: list[bytes]) -> np.ndarray:
@@ -228,7 +228,7 @@ def _cut(window: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, m: int = M, bucket_factor: int = 8, carry: Sequence[str] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, m: int = M, bucket_factor: int = 16, carry: Sequence[str] = ()) -> DataFrame:
     """doc_id, text, carried (the columns named in carry), n_words, n_removed, kept_text of every document.
 
     Words are runs of bytes other than ASCII white space, compared unchanged. A null text has none. A row without doc_id is
