@@ -4,9 +4,10 @@ Each permutation gives two signature values, the minimum and the maximum, so hal
 ROWS values bring candidates together. Documents with the same shingle set are one class from the start; only one member
 of a class is banded, so a group of copies costs one row. In a bucket each member is first paired with the next in size
 only, a chain instead of all pairs; pairs are confirmed on the full shingle sets and joined up. Pairs inside one component
-then need no look at all. In buckets that still hold several components, pairs across them are compared: first each
-member with its likeliest partner, then all whose signatures don't rule out the threshold. Large buckets are cut into
-tiles for that, so no task holds more than two blocks of one.
+then need no look at all. In buckets that still hold several components, pairs across them are compared: in small buckets
+first each member with its likeliest partner, then all whose signatures don't rule out the threshold. A large bucket gets
+the texts too, compares sets in place and passes on only links that join components; it is cut into tiles, so no task
+holds more than two blocks of it.
 """
 
 from __future__ import annotations
@@ -21,24 +22,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import lower_ascii, shingle_hashes, shuffle_partitions, texts, word_hashes, written
+from .common import lower_ascii, mix, shingle_hashes, shuffle_partitions, texts, word_hashes, written
 from .components import components
 
 SHINGLE, PERCENT = 5, 80
 #: With bands of 6 a pair at the threshold of 0.8 is missed with probability (1 - 0.8^6)^36 = 2e-5; longer signatures are no cost to sets that differ.
 ROWS, BANDS = 6, 36
 HASHES = ROWS * BANDS // 2
-TILE = 2_048
+#: Members from which a bucket compares sets in place; most members of it in a block of a tile.
+LARGE, TILE = 256, 2_048
 _rng = np.random.default_rng(1009)
 _A = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _rng.integers(0, 2**63, HASHES, dtype=np.uint64)
+_A32 = _A.astype(np.uint32) | np.uint32(1)
+_B32 = _rng.integers(0, 2**32, HASHES, dtype=np.uint32)
+_WEIGHTS = _A[:ROWS] ^ np.uint64(0x5DEECE66)
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
     """Minimum, then maximum, of the shingles under each permutation."""
-    low, high = np.full(HASHES, 2**32 - 1, np.uint64), np.zeros(HASHES, np.uint64)
-    for a in range(0, len(shingles), 2_048):
-        h = (shingles[a : a + 2_048, None] * _A + _B) >> np.uint64(32)
+    low, high = np.full(HASHES, 2**32 - 1, np.uint32), np.zeros(HASHES, np.uint32)
+    values = (shingles >> np.uint64(32)).astype(np.uint32)
+    for a in range(0, len(values), 1_024):
+        h = values[a : a + 1_024, None] * _A32
+        h += _B32
+        h ^= h >> np.uint32(15)
         np.minimum(low, h.min(0), out=low)
         np.maximum(high, h.max(0), out=high)
     return np.concatenate([low, high])
@@ -46,15 +53,8 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 
 def bands(sig: np.ndarray) -> np.ndarray:
     """One key for each band; a band holds either minima or maxima of different permutations."""
-    return shingle_hashes_rows(sig.reshape(BANDS, ROWS)).view(np.int64)
-
-
-def shingle_hashes_rows(rows: np.ndarray) -> np.ndarray:
-    """Hash of each row together with its number."""
-    out = np.empty(len(rows), np.uint64)
-    for i, row in enumerate(rows):
-        out[i] = shingle_hashes(np.append(row, np.uint64(i)), ROWS + 1)[0]
-    return out
+    rows = sig.reshape(BANDS, ROWS).astype(np.uint64)
+    return mix((rows * _WEIGHTS).sum(1) + np.arange(1, BANDS + 1, dtype=np.uint64) * _A[0]).view(np.int64)
 
 
 def shingle_set(raw: bytes, k: int) -> set:
@@ -82,7 +82,7 @@ def _sign(k: int):
                         seen.clear()
                     seen.add(key)
                     values = signature(shingles)
-                    sig, keys = (values & np.uint64(255)).astype(np.uint8).tobytes(), bands(values)
+                    sig, keys = (values & np.uint32(255)).astype(np.uint8).tobytes(), bands(values)
                 out.append((doc, len(shingles), key, sig, keys))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _SIGNED)], schema=_SIGNED)
@@ -114,28 +114,43 @@ def _confirm(k: int, percent: int):
     return run
 
 
-def _across(percent: int, best_only: bool):
+def _across(k: int, percent: int, best_only: bool):
     """Candidate pairs of different components from tiles sorted by (bkey, tile)."""
-    least = percent / 100 - 5 * np.sqrt(percent / 100 * (1 - percent / 100) / (2 * HASHES))  # five standard errors below the threshold
+    least = percent / 100 - 4 * np.sqrt(percent / 100 * (1 - percent / 100) / (2 * HASHES))  # four standard errors below the threshold
 
     def tile(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        unpress = zstandard.ZstdDecompressor()
         ids, sizes, labels, rank = (np.array([r[i] for r in rows], np.int64) for i in (2, 3, 4, 6))
         sigs = np.frombuffer(b"".join(r[5] for r in rows), np.uint8).reshape(len(rows), -1)
+        keys, own_key = np.array([r[7] for r in rows], np.int64), rows[0][0]
         low, high = rows[0][1] >> 20, rows[0][1] & (1 << 20) - 1
+        large = rows[0][8] is not None
+        sets = [np.unique(shingle_hashes(word_hashes(unpress.decompress(r[8])), k)) for r in rows] if large else []
         for i in range(len(rows)):
             if low != high and rank[i] != low:
                 continue  # a tile of two blocks compares one with the other
             other = (labels != labels[i]) & (np.minimum(sizes, sizes[i]) * 100 >= percent * np.maximum(sizes, sizes[i]))
-            other &= (rank == high) if low != high else (np.arange(len(rows)) > i) | best_only
+            other &= (rank == high) if low != high else (np.arange(len(rows)) > i) | (best_only and not large)
             at = np.flatnonzero(other)
             if not len(at):
                 continue
             near = (sigs[at] == sigs[i]).mean(1)
-            if best_only:
+            if best_only and not large:
                 j = int(near.argmax())
                 at = at[j : j + 1] if near[j] >= least else at[:0]
             else:
                 at = at[near >= least]
+                shared = np.where(keys[at] == keys[i], keys[at], np.iinfo(np.int64).max)
+                at = at[shared.min(1) == own_key]  # once, in the first bucket that the two share
+            if large and len(at):  # sets compared here; of the pairs that link, those that join components go on
+                n_of = sizes[at]
+                inside = np.isin(np.concatenate([sets[j] for j in at.tolist()]), sets[i], assume_unique=False)
+                both = np.add.reduceat(inside.astype(np.int64), np.cumsum(n_of) - n_of)
+                for j in at[100 * both >= percent * (n_of + sizes[i] - both)].tolist():
+                    if labels[j] != labels[i]:
+                        labels[labels == labels[j]] = labels[i]
+                        yield int(ids[i]), int(ids[j])
+                continue
             for j in ids[at].tolist():
                 yield int(ids[i]), j
 
@@ -193,12 +208,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     tried = chain.select("a", "b")
     for best_only in (True, False):
         marked = dealt.join(labels.withColumnRenamed("node", "id"), "id", "left").select("bkey", "id", "n", F.coalesce("label", "id").alias("label"))
-        several = marked.groupBy("bkey").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m")).where("x <> y AND m > 2").select("bkey", F.ceil(F.col("m") / TILE).alias("g"))
+        several = marked.groupBy("bkey").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m")).where("x <> y AND m > 2").select("bkey", "m", F.ceil(F.col("m") / TILE).alias("g"))
         crowded = marked.join(several, "bkey").withColumn("r", F.pmod(F.xxhash64("id"), F.col("g")))
-        tiled = crowded.withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1))).withColumn("tile", F.shiftleft(F.least("r", "c"), 20) + F.greatest("r", "c"))
-        sent = tiled.join(classes.select("id", "sig"), "id").select("bkey", "tile", "id", "n", "label", "sig", "r")
+        small = crowded.where(F.col("m") < LARGE).select("bkey", F.lit(0).cast("long").alias("tile"), "id", "n", "label", F.lit(0).cast("long").alias("r"), F.lit(None).cast("binary").alias("blob"))
+        if best_only:  # large buckets are settled in this round
+            large = crowded.where(F.col("m") >= LARGE).withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)))
+            small = small.union(large.withColumn("tile", F.shiftleft(F.least("r", "c"), 20) + F.greatest("r", "c")).join(blobs, "id").select("bkey", "tile", "id", "n", "label", "r", "blob"))
+        sent = small.join(classes.select("id", "sig", "bands"), "id").select("bkey", "tile", "id", "n", "label", "sig", "r", "bands", "blob")
         sent = sent.repartition(parts, "bkey", "tile").sortWithinPartitions("bkey", "tile", "n", "id")
-        across = sent.mapInArrow(_across(percent, best_only), "a long, b long")
+        across = sent.mapInArrow(_across(shingle, percent, best_only), "a long, b long")
         pairs = written(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         links = links.union(written(confirmed(pairs), "links"))
         tried = tried.union(pairs)
