@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from . import tokens
 from .common import drop, shuffle_partitions, texts, workdir
 
-MAGIC, BLOCK, LIMIT, SEGMENT = b"LHF1", 1024, 20, 1 << 20
+MAGIC, BLOCK, LIMIT, SEGMENT = b"LHF1", 512, 17, 1 << 20
 _HEAD = struct.Struct("<4sIQIQ")  # magic, documents, tokens, blocks, bits
 
 
@@ -64,18 +64,15 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
-def decode_table(lengths: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
-    """Bits to look at, and for each value of them the id and its code length."""
+def decode_table(lengths: np.ndarray) -> tuple[int, np.ndarray]:
+    """Bits to look at, and for each value of them the id, shifted left by 5, and its code length."""
     width = int(lengths.max(initial=1))
-    codes, ids, sizes = canonical_codes(lengths), np.zeros(1 << width, np.uint32), np.ones(1 << width, np.uint8)
+    table = np.ones(1 << width, np.uint32)
     used = np.flatnonzero(lengths)
     used = used[np.lexsort((used, lengths[used]))]
-    spans = (np.uint64(1) << (width - lengths[used].astype(np.uint64)))
-    filled = int(spans.sum())
-    ids[:filled] = np.repeat(used.astype(np.uint32), spans.astype(np.int64))
-    sizes[:filled] = np.repeat(lengths[used], spans.astype(np.int64))
-    assert not len(used) or int(codes[used[0]]) == 0
-    return width, ids, sizes
+    spans = (np.uint64(1) << (width - lengths[used].astype(np.uint64))).astype(np.int64)
+    table[: spans.sum()] = np.repeat(used.astype(np.uint32) << 5 | lengths[used], spans)
+    return width, table
 
 
 def encode_segment(doc_sizes: np.ndarray, ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> bytes:
@@ -92,7 +89,7 @@ def encode_segment(doc_sizes: np.ndarray, ids: np.ndarray, codes: np.ndarray, le
     return _HEAD.pack(MAGIC, len(doc_sizes), len(ids), len(offsets), bits) + doc_sizes.astype("<u4").tobytes() + offsets.tobytes() + words.astype(np.uint64).astype(">u4").tobytes()
 
 
-def decode_segment(blob: bytes, table: tuple[int, np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def decode_segment(blob: bytes, table: tuple[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of each document, and all ids, of one segment."""
     magic, n_docs, n, n_blocks, bits = _HEAD.unpack_from(blob)
     if magic != MAGIC:
@@ -103,17 +100,17 @@ def decode_segment(blob: bytes, table: tuple[int, np.ndarray, np.ndarray]) -> tu
     payload = np.frombuffer(blob, np.uint8, offset=at + 4 * n_docs + 8 * n_blocks)
     b = np.concatenate([payload, np.zeros(4, np.uint8)]).astype(np.uint32)
     window = (b[:-3] << 24) | (b[1:-2] << 16) | (b[2:-1] << 8) | b[3:]
-    width, ids_of, size_of = table
+    width, values = table
     out, full = np.zeros((BLOCK, n_blocks), np.uint32), n // BLOCK
     for step in range(min(BLOCK, n)):
         if full < n_blocks and step >= n - full * BLOCK:
             pos = pos[:full]
             full = n_blocks
         k = len(pos)
-        peek = (window[pos >> 3] << (pos & 7).astype(np.uint32)) >> np.uint32(32 - width)
-        out[step, :k] = ids_of[peek]
-        pos = pos + size_of[peek]
-    return doc_sizes, out.T.reshape(-1)[:n]
+        got = values[(window[pos >> 3] << (pos & 7).astype(np.uint32)) >> np.uint32(32 - width)]
+        out[step, :k] = got
+        pos = pos + (got & 31)
+    return doc_sizes, out.T.reshape(-1)[:n] >> 5
 
 
 def _tokenise(path: str, end_id: int):
