@@ -193,9 +193,11 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     firsts = usable.groupBy("skey").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n"), F.max(F.struct("sig", "bands")).alias("s"))
     classes = written(firsts.select("skey", "id", "n", "s.sig", "s.bands"), "classes")
     dealt = classes.select(F.explode("bands").alias("bkey"), "id", "n")
-    order = Window.partitionBy("bkey").orderBy("n", "id")
-    chained = dealt.select("bkey", "id", "n", F.lag("id").over(order).alias("before"), F.lag("n").over(order).alias("n_before"))
-    chain = written(chained.where("before IS NOT NULL AND before <> id").select(F.least("id", "before").alias("a"), F.greatest("id", "before").alias("b"), (F.col("n_before") * 100 >= F.col("n") * percent).alias("near")).distinct(), "chain")
+    by_key = Window.partitionBy("bkey")
+    order = by_key.orderBy("n", "id")
+    chained = dealt.select("bkey", "id", "n", F.lag("id").over(order).alias("before"), F.lag("n").over(order).alias("n_before"), F.count("*").over(by_key).alias("m"))
+    bucketed = written(chained.where("m > 1"), "buckets")  # a member alone in its bucket meets nobody there
+    chain = written(bucketed.where("before IS NOT NULL AND before <> id").select(F.least("id", "before").alias("a"), F.greatest("id", "before").alias("b"), (F.col("n_before") * 100 >= F.col("n") * percent).alias("near")).distinct(), "chain")
     members = chain.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     blobs = written(rows.join(members, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_blob, "id long, blob binary").dropDuplicates(), "texts")
 
@@ -207,9 +209,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     labels = components(links)
     tried = chain.select("a", "b")
     for best_only in (True, False):
-        marked = dealt.join(labels.withColumnRenamed("node", "id"), "id", "left").select("bkey", "id", "n", F.coalesce("label", "id").alias("label"))
-        several = marked.groupBy("bkey").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("m")).where("x <> y AND m > 2").select("bkey", "m", F.ceil(F.col("m") / TILE).alias("g"))
-        crowded = marked.join(several, "bkey").withColumn("r", F.pmod(F.xxhash64("id"), F.col("g")))
+        marked = bucketed.where("m > 2").join(labels.withColumnRenamed("node", "id"), "id", "left").select("bkey", "id", "n", "m", F.coalesce("label", "id").alias("label"))
+        several = marked.groupBy("bkey").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bkey")
+        crowded = marked.join(several, "bkey").withColumn("g", F.ceil(F.col("m") / TILE)).withColumn("r", F.pmod(F.xxhash64("id"), F.col("g")))
         small = crowded.where(F.col("m") < LARGE).select("bkey", F.lit(0).cast("long").alias("tile"), "id", "n", "label", F.lit(0).cast("long").alias("r"), F.lit(None).cast("binary").alias("blob"))
         if best_only:  # large buckets are settled in this round
             large = crowded.where(F.col("m") >= LARGE).withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)))
