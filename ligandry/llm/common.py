@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +68,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def list_column(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    """An Arrow list column of the arrays, without a Python object for each value."""
+    offsets = np.cumsum([0, *map(len, parts)])
+    flat = np.concatenate([np.empty(0, kind.to_pandas_dtype()), *(p.astype(kind.to_pandas_dtype()) for p in parts)])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, kind))
+
+
 def lower_ascii(text: str) -> bytes:
     """UTF-8 bytes with A-Z, and nothing else, lower-cased."""
     return text.encode("utf-8", "surrogatepass").translate(_LOWER)

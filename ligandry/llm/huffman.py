@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import drop, shuffle_partitions, texts, workdir
+from .common import drop, list_column, shuffle_partitions, texts, workdir
 
 MAGIC, BLOCK, LIMIT, SEGMENT = b"LHF1", 512, 17, 1 << 20
 _HEAD = struct.Struct("<4sIQIQ")  # magic, documents, tokens, blocks, bits
@@ -147,8 +147,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _encode(lengths):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        book, part, seq, before = lengths.value, TaskContext.get().partitionId(), 0, 0
-        codes = canonical_codes(book)
+        (book, codes), part, seq, before = lengths.value, TaskContext.get().partitionId(), 0, 0
 
         def segment(docs, arrays):
             nonlocal seq, before
@@ -191,7 +190,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     for r in counted:
         counts[r.id] = r.n
     lengths = code_lengths(counts, limit)
-    shared = spark.sparkContext.broadcast(lengths)
+    shared = spark.sparkContext.broadcast((lengths, canonical_codes(lengths)))
     ordered = ids.repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "ids")
     ordered.mapInArrow(_encode(shared), "part int, seq int, start long, n_tokens long, doc_ids array<long>, segment binary").write.option("compression", "uncompressed").parquet(f"{path}/segments")
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(1).write.parquet(f"{path}/codebook")
@@ -208,7 +207,7 @@ def _decode(lengths, with_ids: bool):
                 parts = [ids[a:b].astype("<u4") for a, b in zip(ends - sizes, ends)]
                 columns = [pa.array(docs, pa.int64()), pa.array(start + ends - sizes, pa.int64()), pa.array(sizes, pa.int64()), pa.array([zlib.crc32(x.tobytes()) for x in parts], pa.int64())]
                 names = ["doc_id", "start", "n_tokens", "ids_crc32"]
-                yield pa.RecordBatch.from_arrays(columns + [pa.array(parts, pa.list_(pa.int64()))] * with_ids, names + ["ids"] * with_ids)
+                yield pa.RecordBatch.from_arrays(columns + ([list_column(parts, pa.int64())] if with_ids else []), names + ["ids"] * with_ids)
 
     return run
 

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from . import tokens
-from .common import texts
+from .common import list_column, texts
 
 LENGTH, OPEN_BINS = 2048, 512
 FIELDS = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -77,7 +77,7 @@ def _pack(path: str, end_id: int, length: int, open_bins: int, with_ids: bool):
             kinds = (pa.int64(), pa.int32(), *[pa.int64()] * 5)
             columns = [pa.array(c, kind) for c, kind in zip(zip(*rows), kinds)]
             names = [f.split()[0] for f in FIELDS.split(", ")]
-            yield pa.RecordBatch.from_arrays(columns + [pa.array([p.astype(np.int32) for p in parts], pa.list_(pa.int32()))] * with_ids, names + ["ids"] * with_ids)
+            yield pa.RecordBatch.from_arrays(columns + ([list_column(parts, pa.int32())] if with_ids else []), names + ["ids"] * with_ids)
 
     return run
 
