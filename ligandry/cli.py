@@ -7,7 +7,7 @@ import json
 import sys
 from pathlib import Path
 
-from .plans.pipeline import STAGES, Config, RunContext, forge
+from .plans.pipeline import STAGES, Config, RunContext, run_steps
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -42,7 +42,7 @@ def main(argv: list[str] | None = None) -> int:
     if df is None:
         print("error: a target id needs fetched tables; give a .csv or .parquet path", file=sys.stderr)
         return 1
-    forge(df, config, RunContext(input_id)).write.mode("overwrite").parquet(args.output)
+    run_steps(df, config, RunContext(input_id)).write.mode("overwrite").parquet(args.output)
     return 0
 
 

@@ -144,7 +144,7 @@ class Config:
         return Config.from_dict(spec)
 
 
-def forge(df: DataFrame, config: Config, ctx: RunContext | None = None, checkpoints: str | None = None) -> DataFrame:
+def run_steps(df: DataFrame, config: Config, ctx: RunContext | None = None, checkpoints: str | None = None) -> DataFrame:
     """Run the steps on df. With checkpoints, each step is written there and read again, which cuts its lineage."""
     ctx = ctx or RunContext()
     for name in config.steps:

@@ -9,7 +9,7 @@ import pytest
 from ligandry.kernels import lite
 from ligandry.operators.assays import AssayParams
 from ligandry.operators.vocabulary import Vocabulary
-from ligandry.plans.pipeline import Config, RunContext, forge
+from ligandry.plans.pipeline import Config, RunContext, run_steps
 from ligandry.sources import rest, sqlite, tables
 from ligandry.streaming import rows
 from tests.test_functions import ACTIVITY, activity
@@ -71,7 +71,7 @@ def test_lite_kernel(spark):
         lite.with_properties(df, names=["logp"])
 
 
-def test_config_and_forge(spark, tmp_path):
+def test_config_and_steps(spark, tmp_path):
     a = Config.from_dict({"assays": {"standard_type": "IC50"}, "steps": ["assays", "tokens"]})
     b = Config.from_dict({"steps": ["assays", "tokens"], "output_root": "elsewhere"})
     assert a.hash() == b.hash() and a.overridden(["assays.standard_type=Ki"]).params["assays"].standard_type == "Ki"
@@ -81,10 +81,10 @@ def test_config_and_forge(spark, tmp_path):
         Config.from_dict({"steps": ["nothing"]})
     df = spark.createDataFrame([activity("CCO", "100"), activity("c1ccccc1", "200")], ACTIVITY)
     ctx = RunContext("t")
-    out = forge(df, Config.from_dict({"distributions": {"thresholds": {"seqlen": {"max_value": 7}}}}), ctx, str(tmp_path))
+    out = run_steps(df, Config.from_dict({"distributions": {"thresholds": {"seqlen": {"max_value": 7}}}}), ctx, str(tmp_path))
     assert [r.canonical_smiles for r in out.collect()] == ["CCO"] and "C" in ctx.values["vocabulary"]
     with pytest.raises(ValueError):
-        forge(df.drop("document_year"), a)
+        run_steps(df.drop("document_year"), a)
 
 
 def test_inputs(spark, tmp_path):
