@@ -54,8 +54,8 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more)
 
 
-#: Ids that may be broadcast, after counting them; more of them are joined by shuffle.
-BROADCAST_IDS = 500_000
+#: Ids that may be broadcast, after counting them (about 40 bytes each in memory); more of them are joined by shuffle.
+BROADCAST_IDS = 1 << 22
 
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:

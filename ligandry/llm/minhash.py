@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import lower_ascii, mix, shingle_hashes, shuffle_partitions, texts, word_hashes, written
+from .common import BROADCAST_IDS, lower_ascii, mix, shingle_hashes, shuffle_partitions, texts, word_hashes, written
 from .components import components
 
 SHINGLE, PERCENT = 5, 80
@@ -198,8 +198,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     chained = dealt.select("bkey", "id", "n", F.lag("id").over(order).alias("before"), F.lag("n").over(order).alias("n_before"), F.count("*").over(by_key).alias("m"))
     bucketed = written(chained.where("m > 1"), "buckets")  # a member alone in its bucket meets nobody there
     chain = written(bucketed.where("before IS NOT NULL AND before <> id").select(F.least("id", "before").alias("a"), F.greatest("id", "before").alias("b"), (F.col("n_before") * 100 >= F.col("n") * percent).alias("near")).distinct(), "chain")
-    members = chain.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    blobs = written(rows.join(members, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(_blob, "id long, blob binary").dropDuplicates(), "texts")
+    members = written(chain.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "members")
+    blob_fields = "id long, blob binary"
+    if members.count() <= BROADCAST_IDS:  # then only members' texts and signatures are moved
+        members = F.broadcast(members)
+        held = rows.withColumnRenamed("doc_id", "id").join(members, "id", "left_semi").select("id", "text").mapInArrow(_blob, blob_fields)
+    else:
+        held = rows.mapInArrow(_blob, blob_fields).join(members, "id", "left_semi")
+    blobs = written(held.dropDuplicates(), "texts")
+    signatures = written(classes.join(members, "id", "left_semi").select("id", "sig", "bands"), "signatures")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         left, right = blobs.select(F.col("id").alias("a"), F.col("blob").alias("left")), blobs.select(F.col("id").alias("b"), F.col("blob").alias("right"))
@@ -216,7 +223,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         if best_only:  # large buckets are settled in this round
             large = crowded.where(F.col("m") >= LARGE).withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)))
             small = small.union(large.withColumn("tile", F.shiftleft(F.least("r", "c"), 20) + F.greatest("r", "c")).join(blobs, "id").select("bkey", "tile", "id", "n", "label", "r", "blob"))
-        sent = small.join(classes.select("id", "sig", "bands"), "id").select("bkey", "tile", "id", "n", "label", "sig", "r", "bands", "blob")
+        sent = small.join(signatures, "id").select("bkey", "tile", "id", "n", "label", "sig", "r", "bands", "blob")
         sent = sent.repartition(parts, "bkey", "tile").sortWithinPartitions("bkey", "tile", "n", "id")
         across = sent.mapInArrow(_across(shingle, percent, best_only), "a long, b long")
         pairs = written(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
