@@ -1,6 +1,7 @@
 """Token ids as canonical length-limited Huffman code, and back.
 
-Encoding has three passes: tokenise once into a scratch table, count ids, then write segments in doc_id order. A segment
+Encoding has two passes: tokenise into a scratch table, where each task leaves its counts of ids too, then write segments
+in doc_id order. A segment
 is one self-contained binary: header, tokens of each document, a bit offset for every block of BLOCK tokens, payload.
 Blocks decode independently, so a reader steps through all blocks of a segment at once with one table look-up a step.
 The code book is one byte of code length for each id; canonical codes follow from it.
@@ -64,6 +65,10 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
+def code_book(lengths: np.ndarray) -> np.ndarray:
+    return canonical_codes(lengths) << np.uint64(8) | lengths
+
+
 def decode_table(lengths: np.ndarray) -> tuple[int, np.ndarray]:
     """Bits to look at, and for each value of them the id, shifted left by 5, and its code length."""
     width = int(lengths.max(initial=1))
@@ -75,18 +80,23 @@ def decode_table(lengths: np.ndarray) -> tuple[int, np.ndarray]:
     return width, table
 
 
-def encode_segment(doc_sizes: np.ndarray, ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> bytes:
-    size = lengths[ids].astype(np.int64)
+def encode_segment(doc_sizes: np.ndarray, ids: np.ndarray, book: np.ndarray) -> bytes:
+    """book: for each id its code, shifted left by 8, and the code's length (at most 32)."""
+    code = book[ids]
+    size = (code & np.uint64(255)).astype(np.int64)
+    code >>= np.uint64(8)
     ends = np.cumsum(size)
     starts, bits = ends - size, int(ends[-1]) if len(ends) else 0
-    n_words = (bits + 31) // 32 + 1
-    word, room = starts >> 5, 32 - (starts & 31) - size  # bits left of the word after the code; negative: it runs over
-    code = codes[ids].astype(np.int64)
-    high = np.where(room >= 0, code << np.maximum(room, 0), code >> np.maximum(-room, 0))
-    low = np.where(room < 0, (code << np.where(room < 0, 32 + room, 0)) & 0xFFFFFFFF, 0)
-    words = np.bincount(word, high.astype(np.float64), n_words)[:n_words] + np.bincount(word + 1, low.astype(np.float64), n_words)[:n_words]  # sums of disjoint bits below 2^32: exact
+    words = np.zeros((bits + 31) // 32 + 1, np.uint32)
+    if len(ids):
+        word = starts >> 5
+        code <<= (64 - (starts & 31) - size).astype(np.uint64)  # in place in the 64 bits from its first word on
+        first = np.concatenate([[0], np.flatnonzero(np.diff(word)) + 1])
+        joined, at = np.bitwise_or.reduceat(code, first), word[first]
+        words[at] |= (joined >> np.uint64(32)).astype(np.uint32)
+        words[at + 1] |= joined.astype(np.uint32)
     offsets = starts[::BLOCK].astype("<u8")
-    return _HEAD.pack(MAGIC, len(doc_sizes), len(ids), len(offsets), bits) + doc_sizes.astype("<u4").tobytes() + offsets.tobytes() + words.astype(np.uint64).astype(">u4").tobytes()
+    return _HEAD.pack(MAGIC, len(doc_sizes), len(ids), len(offsets), bits) + doc_sizes.astype("<u4").tobytes() + offsets.tobytes() + words.astype(">u4").tobytes()
 
 
 def decode_segment(blob: bytes, table: tuple[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -113,13 +123,25 @@ def decode_segment(blob: bytes, table: tuple[int, np.ndarray]) -> tuple[np.ndarr
     return doc_sizes, out.T.reshape(-1)[:n] >> 5
 
 
+_TOKENISED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("n", pa.int32()), ("counts", pa.binary())])
+
+
 def _tokenise(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = tokens.encoder(path)
+        kind, total = "<u2" if enc.whole.get_vocab_size() <= 1 << 16 else "<u4", np.zeros(1, np.int64)
+        end = np.array([end_id], "<u4")
         for batch in batches:
-            ids = [np.append(enc.ids(t), np.uint32(end_id)).astype("<u4") for t in batch.column(1).to_pylist()]
-            narrow = enc.whole.get_vocab_size() <= 1 << 16
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([(x.astype("<u2") if narrow else x).tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int32())], ["doc_id", "ids", "n"])
+            ids = [np.concatenate([enc.ids(t), end]) for t in batch.column(1).to_pylist()]
+            if not ids:
+                continue
+            got = np.bincount(np.concatenate(ids))
+            if len(got) > len(total):
+                total = np.pad(total, (0, len(got) - len(total)))
+            total[: len(got)] += got
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.astype(kind).tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int32()), pa.nulls(len(ids), pa.binary())], schema=_TOKENISED)
+        if total.any():
+            yield pa.RecordBatch.from_pylist([{"counts": total.astype("<i8").tobytes()}], schema=_TOKENISED)
 
     return run
 
@@ -129,15 +151,18 @@ def _unpack(raw: bytes, n: int) -> np.ndarray:
 
 
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
-    """doc_id, ids (little-endian binary, two bytes an id if the vocabulary allows, else four), n of every document."""
-    return texts(docs).mapInArrow(_tokenise(tokenizer, end_id), "doc_id long, ids binary, n int")
+    """doc_id, ids (little-endian binary, two bytes an id if the vocabulary allows, else four), n of every document.
+
+    After its documents each task adds one row with counts only: how often each id occurs in them.
+    """
+    return texts(docs).mapInArrow(_tokenise(tokenizer, end_id), "doc_id long, ids binary, n int, counts binary")
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1, np.int64)
     for batch in batches:
-        for raw, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            got = np.bincount(_unpack(raw, n))
+        for raw in batch.column(0).to_pylist():
+            got = np.frombuffer(raw, "<i8")
             if len(got) > len(total):
                 total = np.pad(total, (0, len(got) - len(total)))
             total[: len(got)] += got
@@ -147,12 +172,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _encode(lengths):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (book, codes), part, seq, before = lengths.value, TaskContext.get().partitionId(), 0, 0
+        book, part, seq, before = lengths.value, TaskContext.get().partitionId(), 0, 0
 
         def segment(docs, arrays):
             nonlocal seq, before
             sizes = np.array([len(x) for x in arrays], np.int64)
-            blob = encode_segment(sizes, np.concatenate(arrays), codes, book)
+            blob = encode_segment(sizes, np.concatenate(arrays), book)
             row = pa.RecordBatch.from_pydict({"part": [part], "seq": [seq], "start": [before], "n_tokens": [int(sizes.sum())], "doc_ids": [docs], "segment": [blob]}, schema=_SEGMENTS)
             seq, before = seq + 1, before + int(sizes.sum())
             return row
@@ -185,13 +210,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     scratch = workdir(spark, "ids")
     tokenised(docs, tokenizer or tokens.default_path(), end_id).write.option("compression", "zstd").parquet(scratch)
     ids = spark.read.parquet(scratch)
-    counted = ids.select("ids", "n").mapInArrow(_count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # one row an id of the vocabulary at most
+    counted = ids.where("counts IS NOT NULL").select("counts").mapInArrow(_add_counts, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # one row an id of the vocabulary at most
     counts = np.zeros(max((r.id for r in counted), default=0) + 1, np.int64)
     for r in counted:
         counts[r.id] = r.n
     lengths = code_lengths(counts, limit)
-    shared = spark.sparkContext.broadcast((lengths, canonical_codes(lengths)))
-    ordered = ids.repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "ids")
+    shared = spark.sparkContext.broadcast(code_book(lengths))
+    ordered = ids.where("n IS NOT NULL").select("doc_id", "ids", "n").repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "ids")
     ordered.mapInArrow(_encode(shared), "part int, seq int, start long, n_tokens long, doc_ids array<long>, segment binary").write.option("compression", "uncompressed").parquet(f"{path}/segments")
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(1).write.parquet(f"{path}/codebook")
     drop(ids)
