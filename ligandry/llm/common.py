@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +66,21 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti").select(*docs.columns)
 
 
+def lean(kernel: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """kernel, and after its last row what it has freed goes back to the system, not to the worker's next task alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from kernel(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+            if trim:
+                trim(0)
+
+    return run
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MARKS, lower_ascii, shingle_hashes, texts, word_hashes
+from .common import MARKS, lean, lower_ascii, shingle_hashes, texts, word_hashes
 
 SEED, COVERAGE = 4, 0.5
 #: Characters of benchmark text that one pass over the documents broadcasts; more items go in more passes.
@@ -124,6 +124,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, see
     for b in range(blocks):
         block = [(r.item_id, r.text) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()]  # about BLOCK_CHARS
         shared = spark.sparkContext.broadcast(pickle.dumps(Index(block, seed)))
-        part = texts(docs).mapInArrow(_find(shared, coverage), _FIELDS)
+        part = texts(docs).mapInArrow(lean(_find(shared, coverage)), _FIELDS)
         found = part if found is None else found.union(part)
     return found

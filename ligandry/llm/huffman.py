@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import drop, list_column, shuffle_partitions, texts, workdir
+from .common import drop, lean, list_column, shuffle_partitions, texts, workdir
 
 MAGIC, BLOCK, LIMIT, SEGMENT = b"LHF1", 512, 17, 1 << 20
 _HEAD = struct.Struct("<4sIQIQ")  # magic, documents, tokens, blocks, bits
@@ -155,7 +155,7 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
 
     After its documents each task adds one row with counts only: how often each id occurs in them.
     """
-    return texts(docs).mapInArrow(_tokenise(tokenizer, end_id), "doc_id long, ids binary, n int, counts binary")
+    return texts(docs).mapInArrow(lean(_tokenise(tokenizer, end_id)), "doc_id long, ids binary, n int, counts binary")
 
 
 def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,14 +210,14 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     scratch = workdir(spark, "ids")
     tokenised(docs, tokenizer or tokens.default_path(), end_id).write.option("compression", "zstd").parquet(scratch)
     ids = spark.read.parquet(scratch)
-    counted = ids.where("counts IS NOT NULL").select("counts").mapInArrow(_add_counts, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # one row an id of the vocabulary at most
+    counted = ids.where("counts IS NOT NULL").select("counts").mapInArrow(lean(_add_counts), "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # one row an id of the vocabulary at most
     counts = np.zeros(max((r.id for r in counted), default=0) + 1, np.int64)
     for r in counted:
         counts[r.id] = r.n
     lengths = code_lengths(counts, limit)
     shared = spark.sparkContext.broadcast(code_book(lengths))
     ordered = ids.where("n IS NOT NULL").select("doc_id", "ids", "n").repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "ids")
-    ordered.mapInArrow(_encode(shared), "part int, seq int, start long, n_tokens long, doc_ids array<long>, segment binary").write.option("compression", "uncompressed").parquet(f"{path}/segments")
+    ordered.mapInArrow(lean(_encode(shared)), "part int, seq int, start long, n_tokens long, doc_ids array<long>, segment binary").write.option("compression", "uncompressed").parquet(f"{path}/segments")
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(1).write.parquet(f"{path}/codebook")
     drop(ids)
 
@@ -249,7 +249,7 @@ def read_tokens(spark, path: str, with_ids: bool = True) -> DataFrame:
         at += n
     base = spark.createDataFrame(bases, "part int, base long")
     placed = segments.join(F.broadcast(base), "part").select((F.col("start") + F.col("base")).alias("start"), "doc_ids", "segment")  # as many rows as partitions
-    return placed.mapInArrow(_decode(shared, with_ids), "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids)
+    return placed.mapInArrow(lean(_decode(shared, with_ids)), "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids)
 
 
 def round_trip(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, with_ids: bool = True) -> DataFrame:

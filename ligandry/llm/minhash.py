@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import BROADCAST_IDS, lower_ascii, mix, shingle_hashes, shuffle_partitions, texts, word_hashes, written
+from .common import BROADCAST_IDS, lean, lower_ascii, mix, shingle_hashes, shuffle_partitions, texts, word_hashes, written
 from .components import components
 
 SHINGLE, PERCENT = 5, 80
@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     """
     spark, rows = docs.sparkSession, texts(docs)
     parts = shuffle_partitions(spark)
-    signed = written(rows.mapInArrow(_sign(shingle), "doc_id long, n_shingles long, skey binary, sig binary, bands array<long>"), "signed")
+    signed = written(rows.mapInArrow(lean(_sign(shingle)), "doc_id long, n_shingles long, skey binary, sig binary, bands array<long>"), "signed")
     usable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     firsts = usable.groupBy("skey").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n"), F.max(F.struct("sig", "bands")).alias("s"))
     classes = written(firsts.select("skey", "id", "n", "s.sig", "s.bands"), "classes")
@@ -202,15 +202,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     blob_fields = "id long, blob binary"
     if members.count() <= BROADCAST_IDS:  # then only members' texts and signatures are moved
         members = F.broadcast(members)
-        held = rows.withColumnRenamed("doc_id", "id").join(members, "id", "left_semi").select("id", "text").mapInArrow(_blob, blob_fields)
+        held = rows.withColumnRenamed("doc_id", "id").join(members, "id", "left_semi").select("id", "text").mapInArrow(lean(_blob), blob_fields)
     else:
-        held = rows.mapInArrow(_blob, blob_fields).join(members, "id", "left_semi")
+        held = rows.mapInArrow(lean(_blob), blob_fields).join(members, "id", "left_semi")
     blobs = written(held.dropDuplicates(), "texts")
     signatures = written(classes.join(members, "id", "left_semi").select("id", "sig", "bands"), "signatures")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         left, right = blobs.select(F.col("id").alias("a"), F.col("blob").alias("left")), blobs.select(F.col("id").alias("b"), F.col("blob").alias("right"))
-        return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(_confirm(shingle, percent), "a long, b long")
+        return pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(lean(_confirm(shingle, percent)), "a long, b long")
 
     links = written(confirmed(chain.where("near")), "links")
     labels = components(links)
@@ -225,7 +225,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
             small = small.union(large.withColumn("tile", F.shiftleft(F.least("r", "c"), 20) + F.greatest("r", "c")).join(blobs, "id").select("bkey", "tile", "id", "n", "label", "r", "blob"))
         sent = small.join(signatures, "id").select("bkey", "tile", "id", "n", "label", "sig", "r", "bands", "blob")
         sent = sent.repartition(parts, "bkey", "tile").sortWithinPartitions("bkey", "tile", "n", "id")
-        across = sent.mapInArrow(_across(shingle, percent, best_only), "a long, b long")
+        across = sent.mapInArrow(lean(_across(shingle, percent, best_only)), "a long, b long")
         pairs = written(across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         links = links.union(written(confirmed(pairs), "links"))
         tried = tried.union(pairs)

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from . import tokens
-from .common import list_column, texts
+from .common import lean, list_column, texts
 
 LENGTH, OPEN_BINS = 2048, 512
 FIELDS = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -88,4 +88,4 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, length:
     A document's ids end with end_id, so an empty or null text is one piece of one token. Only documents of over length
     tokens are cut. Rows with equal or null doc_id are packed like any others. No rows give no pieces.
     """
-    return texts(docs).mapInArrow(_pack(tokenizer or tokens.default_path(), end_id, length, open_bins, with_ids), FIELDS + ", ids array<int>" * with_ids)
+    return texts(docs).mapInArrow(lean(_pack(tokenizer or tokens.default_path(), end_id, length, open_bins, with_ids)), FIELDS + ", ids array<int>" * with_ids)

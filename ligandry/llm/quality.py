@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACES, lower_ascii, texts, word_hashes
+from .common import SPACES, lean, lower_ascii, texts, word_hashes
 
 #: Rows of the labelled sample, latent dimensions, voting neighbours, least score of label 1. All bound what is broadcast.
 FIT_ROWS, DIMENSIONS, NEIGHBOURS, THRESHOLD = 4_000, 48, 25, 0.3
@@ -103,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Voter:
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).where(~held_out(F.col("doc_id")))
     chosen = usable.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").cast("int").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     sample = texts(docs).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    found = sample.select("doc_id", "text", "quality").mapInArrow(_bags, "bag binary, quality int").collect()  # rows at most
+    found = sample.select("doc_id", "text", "quality").mapInArrow(lean(_bags), "bag binary, quality int").collect()  # rows at most
     bags = np.array([np.frombuffer(zlib.decompress(r.bag), np.float32) for r in found], np.float32).reshape(len(found), TERMS)
     order = np.lexsort(bags.T[:8]) if len(found) else np.empty(0, np.int64)  # the same model in whatever order rows arrive
     return Voter(bags[order], np.array([r.quality for r in found])[order])
@@ -124,7 +124,7 @@ def scored(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFram
     """The rows of docs, all columns, with SCORE added."""
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(fit(docs, labels, rows)))
     schema = T.StructType([*docs.schema.fields, T.StructField(SCORE, T.DoubleType())])
-    return docs.mapInArrow(_score(shared, docs.columns.index("text")), schema)
+    return docs.mapInArrow(lean(_score(shared, docs.columns.index("text"))), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows: int = FIT_ROWS) -> DataFrame:

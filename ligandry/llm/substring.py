@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import shingle_hashes, shuffle_partitions, word_hashes, written
+from .common import lean, shingle_hashes, shuffle_partitions, word_hashes, written
 
 WINDOW, M, CHUNK = 13, 4, 4 << 20
 
@@ -240,14 +240,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, m: int = M, bucket_fac
     parts = shuffle_partitions(spark)
     buckets = bucket_factor * parts
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *([F.struct(*carry).alias("carried")] if carry else [])).withColumn("tkey", F.xxhash64("text"))
-    dealt = keyed.where("doc_id is not null").select("doc_id", "tkey", "text").mapInArrow(_deal(window, m, buckets), "bucket long, doc_id long, tkey long, blob binary")
-    met = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_match(window, buckets), "bucket long, doc_id long, tkey long, blob binary")
+    dealt = keyed.where("doc_id is not null").select("doc_id", "tkey", "text").mapInArrow(lean(_deal(window, m, buckets)), "bucket long, doc_id long, tkey long, blob binary")
+    met = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(lean(_match(window, buckets)), "bucket long, doc_id long, tkey long, blob binary")
     settled = written(met.select("doc_id", "tkey", "blob"), "windows")
     found = settled.groupBy("doc_id", "tkey").agg(F.collect_list("blob").alias("found"))
     joined = keyed.join(found, ["doc_id", "tkey"], "left").drop("tkey")
     kept = [f for f in joined.schema.fields if f.name != "found"]
     counted = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
-    return joined.mapInArrow(_cut(window), T.StructType([*kept, *counted]))
+    return joined.mapInArrow(lean(_cut(window)), T.StructType([*kept, *counted]))
 
 
 def without_repeats(docs: DataFrame, **how) -> DataFrame:

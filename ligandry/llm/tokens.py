@@ -16,7 +16,8 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 TOKENIZER = "byte_bpe_50k.json"
-CACHE = 700_000
+#: Units remembered by a worker, at about 200 bytes each.
+CACHE = 400_000
 _OTHER_SPACE = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace() and c not in " \n"]
 _MARKS = "!#$%&*,.:;?"
 _STABLE = "\u0500"  # below it Unicode's letters have long been settled, so isalpha() agrees with the tokenizer's own tables
@@ -68,10 +69,14 @@ class Encoder:
 
     def _unit(self, unit: str) -> bytes:
         word = unit[1:] if unit[:1] == " " else unit
-        if not word or max(word) >= _STABLE:
+        if not word or not (word.isascii() or max(word) < _STABLE):
             return array("I", self._direct(unit)).tobytes()
         if word.isalpha():  # one pre-token: straight to the merges
-            return array("I", [t.id for t in self.model.tokenize(unit.encode().decode("latin-1").translate(self.letters))]).tobytes()
+            if word.isascii():
+                letters = unit if unit is word else self.letters[32] + word
+            else:
+                letters = unit.encode().decode("latin-1").translate(self.letters)
+            return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
         if word[0] == "\n" and len(word) > 1 and word[1] not in " \n":
             return self.found["\n"] + self.found[word[1:]]
         letters = word.rstrip(_MARKS)
