@@ -97,6 +97,11 @@ def lower_ascii(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass").translate(_LOWER)
 
 
+def folded(text: str) -> bytes:
+    """UTF-8 bytes with the letters of every script case folded, so that upper-cased text is found again."""
+    return lower_ascii(text) if text.isascii() else text.casefold().encode("utf-8", "surrogatepass")
+
+
 _rng = np.random.default_rng(20240229)
 _VAL = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _P = int(_rng.integers(2**62, 2**63, dtype=np.uint64)) | 1

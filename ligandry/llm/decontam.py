@@ -1,6 +1,6 @@
 """Benchmark decontamination by greedy string tiling.
 
-Words (runs of letters and digits, A-Z lower-cased) of every benchmark item are indexed by Karp-Rabin hashes of SEED
+Words (runs of letters and digits, case folded over all of Unicode) of every benchmark item are indexed by Karp-Rabin hashes of SEED
 consecutive words. A document whose hashes hit the index is tiled against each item hit: seeds on one diagonal join to
 maximal matches, the longest match is marked, overlapping ones are trimmed, and so on while one of SEED words is left. An
 item is leaked if the tiles cover enough of its words, in whatever order they stand in the document.
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MARKS, lean, lower_ascii, shingle_hashes, texts, word_hashes
+from .common import MARKS, folded, lean, shingle_hashes, texts, word_hashes
 
 SEED, COVERAGE = 4, 0.5
 #: Characters of benchmark text that one pass over the documents broadcasts; more items go in more passes.
@@ -59,7 +59,7 @@ class Index:
         self.seeds, self.size, self.names = {}, {}, [name for name, _ in items]
         found: dict[int, list] = {}
         for item, (_, text) in enumerate(items):
-            words = word_hashes(lower_ascii(text or ""), MARKS)
+            words = word_hashes(folded(text or ""), MARKS)
             if len(words):
                 k = min(seed, len(words))
                 self.size[item] = len(words)
@@ -71,7 +71,7 @@ class Index:
             self.seeds[k] = h[order], item[order], at[order]
 
     def leaks(self, text: str, coverage: float) -> Iterator[tuple[int, float, int, int, list[int]]]:
-        words = word_hashes(lower_ascii(text), MARKS)
+        words = word_hashes(folded(text), MARKS)
         for k, (seeds, items, places) in self.seeds.items():
             if len(words) < k:
                 continue

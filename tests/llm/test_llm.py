@@ -276,6 +276,14 @@ def test_decontamination(spark, empty):
     assert decontam.leaks(empty, bench).count() == decontam.leaks(table, bench.where("false")).count() == 0
 
 
+def test_decontamination_folds_every_letter(spark):
+    passage = "mañana el niño español cruzó la frontera über die straße łódź οδός"
+    bench = spark.createDataFrame([(1, passage), (2, passage.upper())], "item_id long, text string")
+    table = spark.createDataFrame([(1, f"x {passage.upper()} y"), (2, passage), (3, "manana el nino espanol")], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.coverage for r in decontam.leaks(table, bench).collect()}
+    assert got == {(d, i): 1.0 for d in (1, 2) for i in (1, 2)}
+
+
 def test_tiles_against_greedy():
     rng = random.Random(4)
     for _ in range(200):
