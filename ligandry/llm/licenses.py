@@ -1,9 +1,9 @@
 """Licence scan with a positional index of rare template words. DataFrame operations only.
 
 Base labels come from phrases whose words stand consecutively. For the method's labels, document frequencies of all
-template words are counted over the corpus; each text looks up its rarest template words, the template postings of those
-words give (template, offset) alignments, and an alignment that enough rare words agree on is compared word by word.
-A template counts only where one of its key phrases stands in the text as well.
+template words are counted over the corpus; each template is indexed under its own rarest words, so many of them that no
+alignment with enough words in place can miss. A text looks up the rare words of the templates whose key phrase stands in
+it, their postings give (template, offset) alignments, and one that enough rare words agree on is compared word by word.
 """
 
 from __future__ import annotations
@@ -58,6 +58,16 @@ def document_frequencies(docs: DataFrame, templates=TEMPLATES) -> dict[str, int]
     return {r.w: r["count"] for r in held.groupBy("w").count().collect()}
 
 
+def rarest_places(template: str, rank: dict[str, int], rare_words: int, min_hits: int, min_match: float) -> list[tuple[str, int]]:
+    """The template's rarest words with their places.
+
+    At least rare_words, and so many that an alignment with a share of min_match holds min_hits of them, whichever words it lacks.
+    """
+    words = template.split()
+    lacking = len(words) - next(k for k in range(len(words) + 1) if k / len(words) >= min_match)
+    return sorted(((w, p) for p, w in enumerate(words)), key=lambda x: (rank[x[0]], x[1]))[: max(rare_words, lacking + min_hits)]
+
+
 def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=TEMPLATES, rare_words: int = RARE_WORDS, min_hits: int = MIN_HITS, min_match: float = MIN_MATCH) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every document.
 
@@ -65,20 +75,25 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=TEMPLATES
     base label, else the best share of a template's words found in place.
     """
     seen, vocabulary = document_frequencies(docs, templates), sorted({w for _, text, _ in templates for w in text.split()})
-    by_rarity = sorted(vocabulary, key=lambda w: (seen.get(w, 0), w))  # highest IDF first
-    postings = {w: [(t, p) for t, (_, text, _) in enumerate(templates) for p, x in enumerate(text.split()) if x == w] for w in vocabulary}
+    rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (seen.get(w, 0), w)))}  # highest IDF first
+    rare = [rarest_places(text, rank, rare_words, min_hits, min_match) for _, text, _ in templates]
+    postings: dict[str, list[tuple[int, int]]] = {}
+    for t, places in enumerate(rare):
+        for w, p in places:
+            postings.setdefault(w, []).append((t, p))
     posting_map = "map(" + ", ".join(f"'{w}', array({', '.join(f'struct({t} as t, {p} as p)' for t, p in found)})" for w, found in postings.items()) + ")"
     template_words = "array(" + ", ".join(_strings(text.split()) for _, text, _ in templates) + ")"
-    keys = sorted({key for _, _, key in templates})
-    gate = " OR ".join(f"contains(joined, ' {k} ')" for k in keys)
+    rare_of = "array(" + ", ".join(_strings(sorted({w for w, _ in places})) for places in rare) + ")"
     key_of, label_of = _strings([k for _, _, k in templates]), _strings([x for x, _, _ in templates])
     none = "cast(array() as array<struct<label:string,share:double>>)"
     base = docs.select(F.col("doc_id"), words_of(F.col("text")).alias("words"))
     base = base.withColumn("joined", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")))
-    base = base.select("doc_id", "words", "joined", F.expr(_phrase_places(phrases)).alias("places"), F.expr(f"CASE WHEN {gate} THEN slice(array_intersect({_strings(by_rarity)}, words), 1, {rare_words}) END").alias("rare"))
-    # Alignments: every occurrence of a rare word, at every place that it has in a template.
-    base = base.withColumn("aligned", F.expr(f"CASE WHEN rare IS NOT NULL THEN flatten(transform(filter(transform(words, (w, i) -> struct(w, i)), x -> array_contains(rare, x.w)), x -> transform(element_at({posting_map}, x.w), q -> struct(q.t AS t, x.i - q.p AS at)))) END"))
-    base = base.withColumn("likely", F.expr(f"CASE WHEN aligned IS NOT NULL THEN filter(array_distinct(aligned), a -> size(filter(aligned, b -> b = a)) >= {min_hits} AND contains(joined, concat(' ', get({key_of}, a.t), ' '))) END"))
+    keyed = f"filter(sequence(0, {len(templates) - 1}), t -> contains(joined, concat(' ', get({key_of}, t), ' ')))"
+    base = base.select("doc_id", "words", F.expr(_phrase_places(phrases)).alias("places"), F.expr(keyed).alias("keyed"))
+    base = base.withColumn("rare", F.expr(f"CASE WHEN size(keyed) > 0 THEN array_distinct(flatten(transform(keyed, t -> get({rare_of}, t)))) END"))
+    # Alignments, sorted: every occurrence of a keyed template's rare word, at each of its places there. Equal ones stand together.
+    base = base.withColumn("aligned", F.expr(f"CASE WHEN rare IS NOT NULL THEN array_sort(flatten(transform(filter(transform(words, (w, i) -> struct(w, i)), x -> array_contains(rare, x.w)), x -> transform(filter(element_at({posting_map}, x.w), q -> array_contains(keyed, q.t)), q -> struct(q.t AS t, x.i - q.p AS at))))) END"))
+    base = base.withColumn("likely", F.expr(f"CASE WHEN aligned IS NOT NULL THEN filter(aligned, (a, i) -> coalesce(get(aligned, i + {min_hits - 1}) = a, false) AND (i = 0 OR get(aligned, i - 1) != a)) END"))
     share = f"size(filter(transform(get({template_words}, a.t), (w, i) -> coalesce(get(words, a.at + i) = w, false)), m -> m)) / size(get({template_words}, a.t))"
     base = base.withColumn("method", F.expr(f"CASE WHEN likely IS NOT NULL THEN filter(transform(likely, a -> named_struct('label', get({label_of}, a.t), 'share', cast({share} as double))), s -> s.share >= {min_match}) ELSE {none} END"))
     return base.select(

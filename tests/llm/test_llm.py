@@ -203,6 +203,38 @@ def test_licenses(spark, docs, rows):
         assert got[i].n_words == len(words_of(t))
 
 
+def test_licenses_in_mixed_and_long_texts(spark):
+    """Every template with a key phrase and enough words in place counts, whatever other template words a text holds."""
+    rng = random.Random(8)
+    notices = [t for _, t, _ in licenses.TEMPLATES]
+    gpl = "this work is licensed under the gnu general public license version 3"
+    texts = [f"{notices[0]} and {gpl}", f"{notices[9]} . {notices[0]} . {notices[2]}", f"any can charge copy files form {gpl}", " ".join(notices)]
+    loose = sorted({w for t in notices for w in t.split()})
+    for _ in range(40):
+        parts = []
+        for t in rng.sample(notices, 3):
+            words = t.split()
+            for at in rng.sample(range(len(words)), rng.randrange(len(words) // 3)):
+                words[at] = rng.choice(loose)
+            parts += rng.choices(loose, k=rng.randrange(12)) + words
+        texts.append(" ".join(parts))
+    texts += ["any can charge copy files form"] * 2 + ["license gnu general public"] * 30
+
+    def want(text):
+        words, found = text.split(), set()
+        for label, notice, key in licenses.TEMPLATES:
+            t = notice.split()
+            shares = (sum(0 <= at + p < len(words) and words[at + p] == w for p, w in enumerate(t)) / len(t) for at in range(-len(t), len(words)))
+            if f" {key} " in f" {' '.join(words)} " and max(shares) >= licenses.MIN_MATCH:
+                found.add(label)
+        return ",".join(sorted(found | {label for phrase, label in licenses.PHRASES.items() if f" {phrase} " in f" {' '.join(words)} "}))
+
+    texts = [" ".join(words_of(t)) for t in texts]
+    got = {r.doc_id: r.labels for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert (got[0], got[1], got[2]) == ("gpl-3,mit", "apache-2,bsd-3,mit", "gpl-3")
+    assert got == {i: want(t) for i, t in enumerate(texts)}
+
+
 def test_lm(docs, rows, empty):
     trains = lambda i: i is None or zlib.crc32(str(i).encode()) % 5 != 1
     split = [(i, (t or "").encode().translate(LOW).split() + [None]) for i, t in rows]
