@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -83,6 +84,25 @@ def test_urls(spark):
     assert urls.judge(pages.where("false"), labels).count() == 0
 
 
+def test_url_rules_of_three_tokens(spark):
+    """Pages blocked by host, folder and query key together, none of whose pairs is confident enough, against brute force."""
+    kinds = [(a, b, c) for a in "xy" for b in "xy" for c in "xy"]
+    sets = [(["host=" + a, "path=" + b, "query=" + c], (a, b, c) == ("x", "x", "x")) for a, b, c in kinds for _ in range(25)]
+    counts, blocked = collections.Counter(), collections.Counter()
+    for tokens_, bad in sets:
+        for k in (1, 2, 3):
+            for held in itertools.combinations(sorted(tokens_), k):
+                counts[held] += 1
+                blocked[held] += bad
+    want = {t: n for t, n in blocked.items() if n >= urls.MIN_COUNT and n / counts[t] >= urls.MIN_CONFIDENCE}
+    rules = urls.mine(spark.createDataFrame(sets, "tokens array<string>, bad boolean")).collect()
+    assert {tuple(r.tokens): r.n for r in rules} == want == {("host=x", "path=x", "query=x"): 25}
+    pages = [(i, f"http://{a}.io/{b}/{i}?{c}=1") for i, (a, b, c) in enumerate(kinds * 25)]
+    labels = [(i, int((a, b, c) != ("x", "x", "x")), 0) for i, (a, b, c) in enumerate(kinds * 25)]
+    judged = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    assert [r.page_id for r in judged if r.verdict == "block"] and all((r.verdict == "block") == (r.page_id % 8 == 0) for r in judged)
+
+
 def test_fingerprints(spark, docs, rows, empty):
     got = fingerprint.compare_edited(docs).collect()
     order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
