@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 #: (verdict, host, path)
 RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
-MIN_SUPPORT, MIN_COUNT, MIN_CONFIDENCE = 0.001, 20, 0.6
+MIN_COUNT, MIN_CONFIDENCE = 20, 0.6
+#: Share of the labelled URLs that the SQL asks for beside MIN_COUNT; the operator asks for MIN_COUNT alone.
+MIN_SUPPORT = 0.001
 BROADCAST_RULES = 50_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -46,16 +48,14 @@ def url_tokens(url: Column, host: Column, path: Column) -> Column:
     return F.coalesce(F.array_sort(F.array_distinct(F.filter(F.concat(labels, folders, more, keys), lambda x: ~x.endswith("=")))), F.array().cast("array<string>"))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Rules (tokens, n, confidence) from rows (tokens array, bad boolean)."""
+def mine(labelled: DataFrame, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """Rules (tokens, n, confidence) from rows (tokens array, bad boolean): every token set that min_count blocked pages have."""
     spark = labelled.sparkSession
     n = labelled.count()
-    if not n:
+    if n < min_count:
         return spark.createDataFrame([], "tokens array<string>, n long, confidence double")
     marked = labelled.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit("label=block")))).otherwise(F.col("tokens")).alias("items"))
-    need = max(min_support, min_count / n)
-    if need > 1:
-        return spark.createDataFrame([], "tokens array<string>, n long, confidence double")
+    need = max(min_count - 0.5, 0.5) / n  # FP-growth rounds need * n up: min_count, whatever the division loses
     rules = FPGrowth(itemsCol="items", minSupport=need, minConfidence=min_confidence).fit(marked).associationRules
     blocked = rules.where(F.col("consequent") == F.array(F.lit("label=block")))
     return blocked.select(F.array_sort("antecedent").alias("tokens"), F.round(F.col("support") * n).cast("long").alias("n"), "confidence")
@@ -93,9 +93,9 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, **limits) -> DataFra
 
 
 def oracle_sql(rules=RULES) -> str:
-    """The same for rules of one or two tokens, counted outright.
+    """The same for rules of one or two tokens, counted outright, that MIN_SUPPORT of the labelled URLs have too.
 
-    Rows equal the operator's where no longer rule is mined; a test compares those with brute force.
+    Rows equal the operator's where no longer rule and no rarer one is mined; tests compare those with brute force.
     """
     values = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in rules)
     return f"""

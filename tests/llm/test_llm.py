@@ -103,6 +103,14 @@ def test_url_rules_of_three_tokens(spark):
     assert [r.page_id for r in judged if r.verdict == "block"] and all((r.verdict == "block") == (r.page_id % 8 == 0) for r in judged)
 
 
+def test_url_rules_need_as_many_pages_at_any_size(spark):
+    """Twenty blocked pages of one host are a rule among many labelled URLs as among few; nineteen never are."""
+    for n in (100, 50_000):
+        host = F.when(F.col("id") < 20, "host=bad").when(F.col("id") < 39, "host=few").otherwise("host=fine")
+        rules = urls.mine(spark.range(n).select(F.array(host).alias("tokens"), (F.col("id") < 39).alias("bad"))).collect()
+        assert [(r.tokens, r.n, r.confidence) for r in rules] == [(["host=bad"], 20, 1.0)]
+
+
 def test_fingerprints(spark, docs, rows, empty):
     got = fingerprint.compare_edited(docs).collect()
     order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
