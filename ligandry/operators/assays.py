@@ -78,6 +78,19 @@ def suspicious_keys(df: DataFrame, key: str, value: str, margin: float = 1e-4, g
     return found.distinct()
 
 
+def repeated_keys(df: DataFrame, key: str, value: str, margin: float = 1e-4) -> DataFrame:
+    """Keys with two rows whose values are equal or at most margin apart."""
+    v = df.where(F.col(key).isNotNull()).select(F.col(key), F.col(value).alias("v")).where("v IS NOT NULL").groupBy(key, "v").agg(F.count("*").alias("n"))
+    found = v.where("n > 1").select(key)
+    if margin > 0:
+        low = v.select(key, F.col("v").alias("low"), F.floor(F.col("v") / (2 * margin)).alias("slot"))
+        high = v.select(key, F.col("v").alias("high"), F.floor(F.col("v") / (2 * margin)).alias("slot"))
+        low = low.select(key, "low", F.explode(F.array(F.col("slot"), F.col("slot") + 1)).alias("slot"))
+        near = low.join(high, [key, "slot"]).where((F.col("high") > F.col("low")) & (F.col("high") - F.col("low") <= margin))
+        found = found.union(near.select(key))
+    return found.distinct()
+
+
 def drop_suspicious(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return df.join(keys, key, "left_anti")
 
@@ -141,6 +154,9 @@ def curate(df: DataFrame, p: AssayParams) -> DataFrame:
     done = standardise(assay_filter(df, p), p)
     gaps = (1.0, 3.0) if p.standard_type in ("Ki", "Kd") else (3.0,)
     if measurement(p.standard_type).potency:
-        done = drop_suspicious(done, suspicious_keys(done, key, label, p.error_margin, gaps), key)
+        keys = suspicious_keys(done, key, label, p.error_margin, gaps)
+        if not p.mistakes_only:
+            keys = keys.union(repeated_keys(done, key, label, p.error_margin)).distinct()
+        done = drop_suspicious(done, keys, key)
     order = ["document_year", *sorted(c for c in df.columns if c not in (key, "document_year"))]
     return representatives(done, key, label, order, p.std_threshold, p.range_threshold)

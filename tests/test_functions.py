@@ -41,6 +41,13 @@ def test_curation(spark):
     assert got["CN"].document_year == 2019 and got["CN"]["count"] == 2 and got["CCO"]["std"] == 0
 
 
+def test_repeated_values_count_beyond_mistakes(spark):
+    rows = [activity("same", "10"), activity("same", "10", 2021), activity("near", "10"), activity("near", "10.0001"), activity("CN", "10"), activity("CN", "12"), activity("CCO", "100")]
+    df = spark.createDataFrame(rows, ACTIVITY)
+    kept = lambda **p: {r.canonical_smiles for r in assays.curate(df, assays.AssayParams(**p)).collect()}
+    assert kept() == {"same", "near", "CN", "CCO"} and kept(mistakes_only=False) == {"CN", "CCO"}
+
+
 def test_units_and_labels():
     assert conversion("nM") == 1e9 and -math.log10(1 / conversion("uM")) == pytest.approx(6)
     assert label_column("Ki") == "pKi" and label_column("Log D") == "Log D"
