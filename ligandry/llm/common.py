@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,23 +22,50 @@ _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 def workdir(spark: SparkSession, name: str) -> str:
     """A fresh folder name under spark.checkpoint.dir, the folder that driver and executors share.
 
-    Only a local master may go without that setting; it then gets a temporary folder of this machine.
+    Only a local master may go without that setting; it then gets a temporary folder of this machine, gone at exit.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="ligandry-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not _local:
+            _local.append(tempfile.mkdtemp(prefix="ligandry-"))
+            atexit.register(shutil.rmtree, _local[0], ignore_errors=True)
+        base = _local[0]
     return f"{base.rstrip('/')}/ligandry/{name}-{uuid.uuid4().hex}"
 
 
+_local: list[str] = []
+_scratch: list[str] = []
+
+
+def scratch(spark: SparkSession, path: str) -> str:
+    """Mark a folder just written as scratch: release() deletes it, the end of the application at the latest."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    _scratch.append(path)
+    return path
+
+
+def release(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
+    """Delete scratch tables marked after the first since, but for keep, a table of written(). Nothing may still read them."""
+    kept = {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for f in keep.inputFiles()} if keep is not None else set()
+    for path in [p for p in _scratch[since:] if p.rsplit("/", 1)[-1] not in kept]:
+        _scratch.remove(path)
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def scratch_tables() -> int:
+    return len(_scratch)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of df, written once to the shared folder and read again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = workdir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(scratch(spark, path))
 
 
 def drop(df: DataFrame) -> None:
@@ -60,10 +90,32 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
 BROADCAST_IDS = 1 << 22
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose doc_id is not in ids (one column, doc_id). A null doc_id stays."""
-    gone = written(ids.where("doc_id IS NOT NULL").distinct(), "gone")
-    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti").select(*docs.columns)
+ROW = "__row"
+
+
+def with_rows(docs: DataFrame) -> DataFrame:
+    """docs with ROW, a number for each row. Same files, same numbers: docs must be a table read from files."""
+    return docs.withColumn(ROW, F.monotonically_increasing_id())
+
+
+def row_texts(rows: DataFrame) -> DataFrame:
+    """What operators take as documents, with the row's number for its id, so that rows with equal or no doc_id stay apart."""
+    return rows.select(F.col(ROW).alias("doc_id"), "text")
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows whose number is not in gone (one column, ROW), without the numbers."""
+    gone = written(gone.distinct(), "gone")
+    return rows.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, ROW, "left_anti").drop(ROW)
+
+
+def one_of_each(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Of each group (doc_id: a row's number, component_id) the row with the smallest doc_id stays, a null one last."""
+    ids = rows.select(F.col(ROW).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    named = groups.select(F.col("doc_id").alias("row"), "component_id").join(ids, "row")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))["row"].alias("row"))
+    gone = groups.select(F.col("doc_id").alias("row")).join(first.select("row"), "row", "left_anti")
+    return without(rows, gone.select(F.col("row").alias(ROW)))
 
 
 def lean(kernel: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
@@ -81,8 +133,16 @@ def lean(kernel: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
     return run
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+#: Bytes of stored input for which a shuffle gets another partition, beyond spark.sql.shuffle.partitions.
+PART_BYTES = 16 << 20
+
+
+def shuffle_partitions(df: DataFrame) -> int:
+    """Partitions for a shuffle of df's texts: the session's number, or more if the files below df are large."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return least if size >= 1 << 60 else max(least, size // PART_BYTES)  # rows that aren't in files have no known size
 
 
 def list_column(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
@@ -92,6 +152,23 @@ def list_column(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, kind))
 
 
+#: Bytes of text that kernels work on at a time; a single longer text is one chunk.
+CHUNK = 4 << 20
+
+
+def text_chunks(batch: pa.RecordBatch, at: int, size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Slices of batch whose texts (column at) have about size bytes; every row is in one."""
+    if not batch.num_rows:
+        return
+    ends = np.cumsum(pc.binary_length(batch.column(at)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < batch.num_rows:
+        base = int(ends[first - 1]) if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, base + (size or CHUNK), "right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def lower_ascii(text: str) -> bytes:
     """UTF-8 bytes with A-Z, and nothing else, lower-cased."""
     return text.encode("utf-8", "surrogatepass").translate(_LOWER)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import lower_ascii, shingle_hashes, shuffle_partitions, texts, word_hashes
+from .common import lean, lower_ascii, shingle_hashes, shuffle_partitions, texts, word_hashes
 
 K, SHINGLE, BITS = 128, 5, 48
 GROUP_ROWS = 2_000
@@ -117,7 +117,8 @@ def compare_edited(docs: DataFrame, k: int = K, shingle: int = SHINGLE) -> DataF
     The edited copy has its last half (rounded down, in code points) replaced by as many from the start of the next
     document; after the last comes the first. Groups of neighbouring ids are sorted in one task each, with the first
     document of the next group sent along. Null texts count as empty; a null doc_id comes last; equal ids are ordered by
-    text; a table of one row is its own neighbour; no rows give none.
+    text; a table of one row is its own neighbour; no rows give none. Very long texts are sketched in whole; other columns are
+    not read. n_shingles is the estimated count of distinct shingles, contained the share of them that the edited text has.
     """
     spark, rows = docs.sparkSession, texts(docs)
     n, n_ids = docs.agg(F.count("*"), F.count("doc_id")).first()
@@ -133,11 +134,11 @@ def compare_edited(docs: DataFrame, k: int = K, shingle: int = SHINGLE) -> DataF
     halo = spark.createDataFrame([(heads[b], a) for a, b in follows.items()], "top long, g long")
     first = grouped.drop("g").join(F.broadcast(halo), F.col("doc_id").eqNullSafe(F.col("top"))).groupBy("doc_id", "g").agg(F.min("text").alias("text"))
     own, sent = grouped.select("g", F.lit(0).alias("halo"), "doc_id", "text"), first.select("g", F.lit(1).alias("halo"), "doc_id", "text")
-    dealt = own.union(sent).repartition(shuffle_partitions(spark), "g").sortWithinPartitions("g", "halo", F.desc_nulls_last("doc_id"), "text")
-    return dealt.mapInArrow(_edited(k, shingle), _EDITED)
+    dealt = own.union(sent).repartition(shuffle_partitions(docs), "g").sortWithinPartitions("g", "halo", F.desc_nulls_last("doc_id"), "text")
+    return dealt.mapInArrow(lean(_edited(k, shingle)), _EDITED)
 
 
-_EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, n_shingles double, contained double"
 
 
 def _edited(k: int, shingle: int):
@@ -152,10 +153,10 @@ def _edited(k: int, shingle: int):
                     half = len(old) // 2
                     edited = old[: len(old) - half] + text[:half]
                     its = sketch(edited, k, shingle)
-                    out.append((before, len(old), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), to_string(theirs), to_string(its), resemblance(theirs, its, k), resemblance(theirs, mine, k)))
+                    out.append((before, len(old), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), to_string(theirs), to_string(its), resemblance(theirs, its, k), resemblance(theirs, mine, k), distinct(theirs, k), containment(theirs, its, k)))
                 held = None if halo else (g, doc, text, mine)
             if out:
-                kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+                kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), *[pa.float64()] * 4)
                 yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], [f.split()[0] for f in _EDITED.split(", ")])
 
     return run

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import drop, lean, list_column, shuffle_partitions, texts, workdir
+from .common import drop, lean, list_column, scratch, shuffle_partitions, texts, workdir
 
 MAGIC, BLOCK, LIMIT, SEGMENT = b"LHF1", 512, 17, 1 << 20
 _HEAD = struct.Struct("<4sIQIQ")  # magic, documents, tokens, blocks, bits
@@ -204,7 +204,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     """Write the token ids of all documents to path: `segments` in doc_id order, and `codebook`.
 
     Each document's ids end with end_id. Null texts count as empty; rows with equal doc_id stay apart, in the order of
-    their ids; a null doc_id comes first. An empty table gives no segment.
+    their ids; a null doc_id comes first. An empty table gives no segment. Ids with equal counts get codes in the order of
+    ids; a very long text is one segment; other columns are not read.
     """
     spark = docs.sparkSession
     scratch = workdir(spark, "ids")
@@ -216,7 +217,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
         counts[r.id] = r.n
     lengths = code_lengths(counts, limit)
     shared = spark.sparkContext.broadcast(code_book(lengths))
-    ordered = ids.where("n IS NOT NULL").select("doc_id", "ids", "n").repartitionByRange(shuffle_partitions(spark), "doc_id").sortWithinPartitions("doc_id", "ids")
+    ordered = ids.where("n IS NOT NULL").select("doc_id", "ids", "n").repartitionByRange(shuffle_partitions(docs), "doc_id").sortWithinPartitions("doc_id", "ids")
     ordered.mapInArrow(lean(_encode(shared)), "part int, seq int, start long, n_tokens long, doc_ids array<long>, segment binary").write.option("compression", "uncompressed").parquet(f"{path}/segments")
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(1).write.parquet(f"{path}/codebook")
     drop(ids)
@@ -256,4 +257,4 @@ def round_trip(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, w
     """Write the ids of docs to a fresh shared folder and read them back."""
     path = workdir(docs.sparkSession, "tokens")
     write_tokens(docs, path, tokenizer, end_id)
-    return read_tokens(docs.sparkSession, path, with_ids)
+    return read_tokens(docs.sparkSession, scratch(docs.sparkSession, path), with_ids)

@@ -29,6 +29,33 @@ TEMPLATES = [
     ("bsd-3", "redistribution and use in source and binary forms with or without modification are permitted provided that", "redistribution and use in source and binary forms"),
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license"),
     ("proprietary", "all rights reserved no part of this publication may be reproduced", "all rights reserved"),
+    (
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions "
+        "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software "
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement",
+        "without restriction including without limitation the rights to use copy modify merge publish distribute sublicense",
+    ),
+    (
+        "apache-2",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0 "
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license",
+        "unless required by applicable law or agreed to in writing software distributed under the license",
+    ),
+    (
+        "bsd-3",
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution "
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+        "may be used to endorse or promote products derived from this software",
+    ),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", "for any purpose with or without fee is hereby granted"),
+    ("gpl-3", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version", "either version 3 of the license"),
+    ("gpl-2", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version", "either version 2 of the license"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation", "gnu lesser general public license"),
+    ("agpl-3", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation", "gnu affero general public license"),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software", "free and unencumbered software released into the public domain"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely", "including commercial applications and to alter it and redistribute it freely"),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work", "has waived all copyright and related or neighboring rights"),
 ]
 
 
@@ -71,8 +98,10 @@ def rarest_places(template: str, rank: dict[str, int], rare_words: int, min_hits
 def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=TEMPLATES, rare_words: int = RARE_WORDS, min_hits: int = MIN_HITS, min_match: float = MIN_MATCH) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every document.
 
-    A null or empty text has no words, no labels, null places and score 0. Equal texts get equal rows. score is 1 with a
-    base label, else the best share of a template's words found in place.
+    A null or empty text has no words, no labels, null places and score 0. Equal texts get equal rows, repeated rows each
+    their own. score is 1 with a base label, else the best share of a template's words found in place; of equal ones any, the
+    figure is the same. Very long texts are searched in whole, in time proportional to their words. An empty table gives no
+    rows; other columns are not read.
     """
     seen, vocabulary = document_frequencies(docs, templates), sorted({w for _, text, _ in templates for w in text.split()})
     rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (seen.get(w, 0), w)))}  # highest IDF first
@@ -106,3 +135,26 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=TEMPLATES
         F.expr("array_join(array_sort(array_distinct(concat(transform(places, x -> x.label), transform(method, x -> x.label)))), ',')").alias("labels"),
         F.expr("CASE WHEN size(places) > 0 THEN 1D ELSE round(coalesce(array_max(transform(method, x -> x.share)), 0D), 6) END").alias("score"),
     )
+
+
+def oracle_sql(phrases: dict[str, str] = PHRASES, templates=TEMPLATES, min_match: float = MIN_MATCH) -> str:
+    """The same without an index: every template against every alignment that has one of its words in place."""
+    phrase_rows = ", ".join(f"('{label}', '{phrase}', {len(phrase.split())})" for phrase, label in phrases.items())
+    heads = ", ".join(f"({t}, '{label}', '{key}', {len(text.split())})" for t, (label, text, key) in enumerate(templates))
+    words = ", ".join(f"({t}, {p}, '{w}')" for t, (_, text, _) in enumerate(templates) for p, w in enumerate(text.split()))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS i, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+j AS (SELECT *, ' ' || array_to_string(words, ' ') || ' ' AS joined FROM d),
+ph(label, phrase, n) AS (VALUES {phrase_rows}),
+near AS (SELECT i, words, label, phrase, n FROM j JOIN ph ON contains(joined, ' ' || phrase || ' ')),
+place AS (SELECT i, label, start FROM (SELECT i, words, label, phrase, n, unnest(range(0, len(words) - n + 1)) AS start FROM near) WHERE array_to_string(words[start + 1 : start + n], ' ') = phrase),
+b AS (SELECT i, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, list(DISTINCT label) AS labels FROM place GROUP BY i),
+h(t, label, key, n) AS (VALUES {heads}),
+tw(t, p, w) AS (VALUES {words}),
+keyed AS (SELECT i, t, label, n FROM j JOIN h ON contains(joined, ' ' || key || ' ')),
+wd AS (SELECT i, unnest(words) AS w, unnest(range(0, len(words))) AS pos FROM j WHERE i IN (SELECT i FROM keyed)),
+hit AS (SELECT k.i, any_value(k.label) AS label, count(*) / any_value(k.n) AS share FROM wd JOIN tw USING (w) JOIN keyed k ON k.i = wd.i AND k.t = tw.t GROUP BY k.i, tw.t, wd.pos - tw.p HAVING count(*) / any_value(k.n) >= {min_match}),
+m AS (SELECT i, list(DISTINCT label) AS labels, max(share) AS share FROM hit GROUP BY i)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word, array_to_string(list_sort(coalesce(b.labels, [])), ',') AS base_labels,
+array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(m.labels, [])))), ',') AS labels, CASE WHEN n_base > 0 THEN 1.0 ELSE round(coalesce(m.share, 0.0), 6) END::DOUBLE AS score
+FROM d LEFT JOIN b USING (i) LEFT JOIN m USING (i)"""

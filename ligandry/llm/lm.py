@@ -1,10 +1,15 @@
 """Language-model scores: smoothed unigram counts of the whole corpus, and a log-bilinear neural model over them.
 
-The frequent words are classes of their own, the end of a text is one, all other words share one. The log-bilinear model
-predicts the class of a token from the two before it; it is trained with noise-contrastive estimation on the exact counts
-of all class triples in the training rows (at most CLASSES cubed of them, whatever the corpus), and batched matrix products
-then give a normalised table for every context. A word of the shared class gets its smoothed share of that class. Counts
-of all words stay in a table: the most frequent HEAD of them are broadcast, the rest are joined.
+The model knows the frequent words, the end of a text and one symbol for all other words; how many words it knows grows
+with the corpus. Symbols are sorted by count and cut into about as many classes as a class has symbols. A token's
+probability is that of its class times that of the symbol within the class, both log-bilinear in the three symbols before
+it, so normalising takes two matrix products with some hundred columns each instead of one with the whole vocabulary.
+
+Training is noise-contrastive estimation, class against classes and symbol against symbols of its class. A warm start on
+some documents in one task gives all trainers common ground; then every training token is used once, in a bounded number
+of trainer tasks, whose changes are averaged row by row, weighted by how often a trainer met the row's symbol. A word
+outside the model gets its smoothed share of the common symbol. Counts of all words stay in a table: the most frequent
+HEAD of them are broadcast, the rest are joined.
 """
 
 from __future__ import annotations
@@ -19,182 +24,354 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, texts, written
+from .common import lean, text_chunks, texts, written
 
-CLASSES, WIDTH, HEAD, CHUNK = 128, 24, 1 << 17, 24 << 20
-END, RARE = CLASSES - 2, CLASSES - 1
-STEPS, BATCH, NOISE, RATE, SEED = 1_500, 1_024, 12, 0.05, 7
+#: Words known to the model: SHARE * tokens ** GROWTH (1,200 at 0.3 million tokens, 60 thousand at 5 billion).
+SHARE, GROWTH, LEAST = 8.0, 0.4, 2
+WIDTH, ORDER, NOISE, BATCH, BLOCK, RATE, SEED = 24, 3, 6, 1_024, 1 << 14, 0.12, 7
+#: Words whose counts are broadcast beside the model's; documents of the warm start and how often it passes over them.
+HEAD, WARM_DOCS, WARM_PASSES = 1 << 16, 1_500, 2
+#: Symbols in one message of a trainer.
+ROWS = 4_096
+END, RARE = 0, 1
 
 
 def train_fold(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 != 1, F.lit(True))
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words, held = [], 0
+def split_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of the texts, A-Z lower-cased, one after the other, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(column))
+    flat, offsets = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+    offsets = offsets - offsets[0]
+    full = pc.binary_length(flat).to_numpy() > 0  # white space at an end leaves an empty word
+    if not full.all():
+        offsets = np.concatenate([[0], np.cumsum(full)])[offsets]
+        flat = flat.filter(pa.array(full))
+    return flat.cast(pa.binary()), np.diff(offsets)
 
-    def counted():
-        got = pc.value_counts(pa.array(words, pa.binary()))
-        return pa.RecordBatch.from_arrays([got.field("values"), got.field("counts")], ["word", "n"])
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            raw = lower_ascii(text)
-            words += raw.split()
-            held += len(raw)
-            if held >= CHUNK:
-                yield counted()
-                words, held = [], 0
-    if words:
-        yield counted()
-
-
-def _classes(raw: bytes, class_of: dict[bytes, int]) -> np.ndarray:
-    words = raw.split()
-    return np.fromiter((*map(class_of.get, words, [RARE] * len(words)), END), np.int64, len(words) + 1)
-
-
-def _codes(classes: np.ndarray) -> np.ndarray:
-    """One number for each token and the two classes before it; a text starts as if after two ends."""
-    padded = np.concatenate([[END, END], classes])
-    return (padded[:-2] * CLASSES + padded[1:-1]) * CLASSES + padded[2:]
+        for part in text_chunks(batch, 0):
+            got = pc.value_counts(split_words(part.column(0))[0])
+            yield pa.RecordBatch.from_arrays([got.field("values"), got.field("counts")], ["word", "n"])
+
+
+def numbered(column: pa.Array, words: pa.Array, known: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Symbols of all tokens (each text closed by END), tokens of each text, rank of each word (-1: not in words), words."""
+    flat, sizes = split_words(column)
+    rank = pc.index_in(flat, value_set=words).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+    symbol = np.where((rank >= 0) & (rank < known), rank + 2, RARE)
+    return np.insert(symbol, np.cumsum(sizes), END), sizes + 1, rank, flat
+
+
+def contexts(symbol: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The ORDER symbols before each token, the nearest first; before a text's start they are all END."""
+    place = np.arange(len(symbol)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out = np.full((ORDER, len(symbol)), END, np.int64)
+    for j in range(ORDER):
+        at = np.flatnonzero(place > j)
+        out[j, at] = symbol[at - j - 1]
+    return out
+
+
+class Model:
+    """Class-factored log-bilinear model over symbols 0 .. n - 1, which are sorted by count but for END and RARE."""
+
+    def __init__(self, counts: np.ndarray, width: int = WIDTH, seed: int = SEED):
+        rng, n = np.random.default_rng(seed), len(counts)
+        self.n, self.size = n, max(2, int(np.ceil(np.sqrt(n))))
+        self.classes = -(-n // self.size)
+        share = counts + 0.5
+        self.of = np.arange(n) // self.size
+        mass = np.bincount(self.of, share, self.classes)
+        self.class_share, self.within = (mass / mass.sum()).astype(np.float32), (share / mass[self.of]).astype(np.float32)
+        self.edges = np.concatenate([[0], np.cumsum(share)])  # noise is drawn between the edges of a class
+        f = np.float32
+        self.params = {
+            "context": (0.1 * rng.standard_normal((n, width))).astype(f),
+            "symbol": np.zeros((n, width), f),
+            "bias": np.log(self.within),
+            "mixing": np.stack([np.eye(width) / (j + 1) for j in range(ORDER)]).astype(f),
+            "class": (0.02 * rng.standard_normal((self.classes, width))).astype(f),
+            "class_bias": np.log(self.class_share),
+        }
+        self.squares = {k: np.full(p.shape[:1] if p.ndim == 2 else p.shape, 1e-2, f) for k, p in self.params.items()}
+
+    def _climb(self, name: str, grad: np.ndarray, rows: np.ndarray | None = None) -> None:
+        """AdaGrad; rows of a matrix share one sum of squares."""
+        p, s = self.params[name], self.squares[name]
+        at = slice(None) if rows is None else rows
+        s[at] += (grad * grad).mean(1) if p.ndim == 2 else grad * grad
+        p[at] += RATE * grad / (np.sqrt(s[at])[:, None] if p.ndim == 2 else np.sqrt(s[at]))
+
+    @staticmethod
+    def _summed(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        first = np.concatenate([[0], np.flatnonzero(np.diff(ids)) + 1])
+        return ids[first], np.add.reduceat(rows[order], first)
+
+    def learn(self, before: np.ndarray, target: np.ndarray, rng: np.random.Generator) -> None:
+        """One step of noise-contrastive estimation; the noise of the class part is its exact expectation."""
+        p = self.params
+        held = p["context"][before]  # [ORDER, batch, width]
+        h = sum(held[j] @ p["mixing"][j] for j in range(ORDER))
+        own = self.of[target]
+        noise = NOISE * self.class_share
+        odds = 1 / (1 + np.exp(-np.clip(h @ p["class"].T + p["class_bias"] - np.log(noise), -30, 30)))
+        at = np.arange(len(target))
+        miss = 1 - odds[at, own]
+        odds *= -noise
+        odds[at, own] += miss
+        d_h = odds @ p["class"]
+        low, high = self.edges[own * self.size], self.edges[np.minimum((own + 1) * self.size, self.n)]
+        drawn = np.searchsorted(self.edges, low + (high - low) * rng.random((NOISE, len(target))), "right") - 1
+        drawn = np.clip(drawn, own * self.size, np.minimum((own + 1) * self.size, self.n) - 1)
+        words = np.concatenate([target[None], drawn])
+        q = p["symbol"][words]
+        score = np.einsum("bd,kbd->kb", h, q) + p["bias"][words] - np.log(NOISE * self.within[words])
+        error = -1 / (1 + np.exp(-np.clip(score, -30, 30)))
+        error[0] += 1
+        d_h += np.einsum("kb,kbd->bd", error, q)
+        flat = words.reshape(-1)
+        ids, grad = self._summed(flat, np.concatenate([(error[:, :, None] * h).reshape(len(flat), -1), error.reshape(-1, 1)], 1))
+        self._climb("symbol", grad[:, :-1], ids)
+        self._climb("bias", grad[:, -1], ids)
+        self._climb("class", odds.T @ h)
+        self._climb("class_bias", odds.sum(0))
+        d_held = np.concatenate([d_h @ p["mixing"][j].T for j in range(ORDER)])
+        d_mixing = np.stack([held[j].T @ d_h for j in range(ORDER)])
+        ids, grad = self._summed(before.reshape(-1), d_held)
+        self._climb("context", grad, ids)
+        self._climb("mixing", d_mixing)
+
+    def learn_all(self, before: np.ndarray, target: np.ndarray, rng: np.random.Generator) -> None:
+        for a in range(0, len(target), BATCH):
+            self.learn(before[:, a : a + BATCH], target[a : a + BATCH], rng)
+
+    def log10(self, before: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Normalised log10 probabilities of target symbols after their contexts, in blocks of matrix products."""
+        p, out = self.params, np.empty(len(target))
+        mixed = [p["context"] @ p["mixing"][j] for j in range(ORDER)]
+        for a in range(0, len(target), BLOCK):
+            t, c = target[a : a + BLOCK], before[:, a : a + BLOCK]
+            h = sum(mixed[j][c[j]] for j in range(ORDER))
+            own = self.of[t]
+            got = _chosen(h @ p["class"].T + p["class_bias"], own)
+            order = np.argsort(own, kind="stable")
+            first = np.concatenate([[0], np.flatnonzero(np.diff(own[order])) + 1, [len(t)]])
+            for i, z in zip(first[:-1].tolist(), first[1:].tolist()):
+                rows = order[i:z]
+                low = int(own[rows[0]]) * self.size
+                got[rows] += _chosen(h[rows] @ p["symbol"][low : low + self.size].T + p["bias"][low : low + self.size], t[rows] - low)
+            out[a : a + BLOCK] = got
+        return out / np.log(10)
+
+
+def _chosen(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log of the soft maximum of each row at one place of it."""
+    logits -= logits.max(1, keepdims=True)
+    own = logits[np.arange(len(at)), at].astype(np.float64)
+    np.exp(logits, out=logits)
+    return own - np.log(logits.sum(1, dtype=np.float64))
+
+
+def _rows(model: Model) -> np.ndarray:
+    """What belongs to single symbols, a row for each."""
+    return np.concatenate([x.reshape(model.n, -1) for x in (model.params[k] if d else model.squares[k] for d in (True, False) for k in _BY_SYMBOL)], 1)
+
+
+def _dense(model: Model) -> np.ndarray:
+    return np.concatenate([x.reshape(-1) for x in (model.params[k] if d else model.squares[k] for d in (True, False) for k in _SHARED)])
+
+
+def _move(model: Model, rows: np.ndarray, dense: np.ndarray) -> None:
+    """Add changes of that layout to the model."""
+    at = 0
+    for x in (model.params[k] if d else model.squares[k] for d in (True, False) for k in _BY_SYMBOL):
+        width = x.size // model.n
+        x += rows[:, at : at + width].reshape(x.shape)
+        at += width
+    at = 0
+    for x in (model.params[k] if d else model.squares[k] for d in (True, False) for k in _SHARED):
+        x += dense[at : at + x.size].reshape(x.shape)
+        at += x.size
+
+
+_BY_SYMBOL, _SHARED = ("context", "symbol", "bias"), ("mixing", "class", "class_bias")
+
+
+def _train(shared, passes: int):
+    """Trains a copy of the model on a task's texts and yields what changed: blocks of rows, each weighted by its symbol's
+    tokens here, and the small matrices, weighted by all tokens."""
 
-
-def _triples(class_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(CLASSES**3, np.int64)
+        model, words, known = pickle.loads(shared.value)
+        rows, dense = _rows(model), _dense(model)
+        seen, rng = np.zeros(model.n, np.float32), np.random.default_rng(SEED + TaskContext.get().partitionId())
+        kept: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            codes = [_codes(_classes(lower_ascii(t), class_of.value)) for t in batch.column(0).to_pylist()]
-            if codes:
-                total += np.bincount(np.concatenate(codes), minlength=CLASSES**3)
-        at = np.flatnonzero(total)
-        for part in np.array_split(at, len(at) // 100_000 + 1):
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(total[part], pa.int64())], ["code", "n"])
+            for part in text_chunks(batch, 0):
+                symbol, sizes, _, _ = numbered(part.column(0), words, known)
+                seen += np.bincount(symbol, minlength=model.n).astype(np.float32)
+                c = contexts(symbol, sizes)
+                model.learn_all(c, symbol, rng)
+                if passes > 1:
+                    kept.append((c.astype(np.int32), symbol.astype(np.int32)))
+        for _ in range(passes - 1):
+            for c, symbol in kept:
+                model.learn_all(c.astype(np.int64), symbol.astype(np.int64), rng)
+        if not seen.any():
+            return
+        rows = (_rows(model) - rows) * seen[:, None]
+        blocks = [-1, *range(-(-model.n // ROWS))]
+        payload = [np.append((_dense(model) - dense) * seen.sum(), seen.sum()).astype(np.float32).tobytes()]
+        payload += [np.concatenate([rows[a : a + ROWS], seen[a : a + ROWS, None]], 1).tobytes() for a in range(0, model.n, ROWS)]
+        yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(payload, pa.binary())], ["block", "moved"])
 
     return run
 
 
-def train(codes: np.ndarray, counts: np.ndarray, steps: int = STEPS) -> np.ndarray:
-    """Normalised log10 probabilities [context, class] of a log-bilinear model fitted by noise-contrastive estimation."""
-    rng = np.random.default_rng(SEED)
-    unigram = np.bincount(codes % CLASSES, counts, CLASSES) + 0.5
-    unigram /= unigram.sum()
-    bias = np.log(unigram)
-    scale = 0.1
-    context, target = (scale * rng.standard_normal((CLASSES, WIDTH)) for _ in range(2))
-    mixing = np.stack([np.eye(WIDTH) * 0.5, np.eye(WIDTH)])
-    params = [context, target, mixing, bias]
-    sums = [np.full_like(p, 1e-2) for p in params]
-    if counts.sum():
-        cumulative = np.cumsum(counts / counts.sum())
-        noise_at = np.cumsum(unigram)
-        log_noise = np.log(NOISE * unigram)
-        for step in range(steps):
-            code = codes[np.minimum(np.searchsorted(cumulative, rng.random(BATCH)), len(codes) - 1)]
-            c1, c2, w = code // CLASSES**2, code // CLASSES % CLASSES, code % CLASSES
-            r1, r2 = context[c1], context[c2]
-            predicted = r1 @ mixing[0] + r2 @ mixing[1]
-            noise = np.minimum(np.searchsorted(noise_at, rng.random((BATCH, NOISE))), CLASSES - 1)
-            words = np.concatenate([w[:, None], noise], 1)
-            q = target[words]
-            logit = np.einsum("bd,bkd->bk", predicted, q) + bias[words] - log_noise[words]
-            error = -1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-            error[:, 0] += 1
-            error /= BATCH
-            d_pred = np.einsum("bk,bkd->bd", error, q)
-            grads = [np.zeros_like(p) for p in params]
-            np.add.at(grads[0], c1, d_pred @ mixing[0].T)
-            np.add.at(grads[0], c2, d_pred @ mixing[1].T)
-            flat = words.reshape(-1)
-            spread = np.zeros((CLASSES, BATCH))
-            np.add.at(spread, (flat, np.repeat(np.arange(BATCH), words.shape[1])), error.reshape(-1))
-            grads[1] = spread @ predicted
-            grads[2] = np.stack([r1.T @ d_pred, r2.T @ d_pred])
-            grads[3] = spread.sum(1)
-            rate = RATE * (1 - 0.9 * step / steps)
-            for p, g, s in zip(params, grads, sums):
-                s += (g * BATCH) ** 2 / BATCH
-                p += rate * g * np.sqrt(BATCH) / np.sqrt(s)
-    table = np.empty((CLASSES * CLASSES, CLASSES), np.float32)
-    for c1 in range(CLASSES):  # one matrix product for each block of contexts
-        logit = (context[c1] @ mixing[0] + context @ mixing[1]) @ target.T + bias
-        logit -= logit.max(1, keepdims=True)
-        table[c1 * CLASSES : (c1 + 1) * CLASSES] = (logit - np.log(np.exp(logit).sum(1, keepdims=True))) / np.log(10)
-    return table
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One sum for each block; rows come sorted by block."""
+    now, total = None, None
+    done: list[tuple[int, bytes]] = []
+    for batch in batches:
+        for block, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            values = np.frombuffer(raw, np.float32).astype(np.float64)
+            if block != now:
+                if now is not None:
+                    done.append((now, total.tobytes()))
+                now, total = block, np.zeros(len(values))
+            total += values
+    if now is not None:
+        done.append((now, total.tobytes()))
+    if done:
+        yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.int64()), pa.array([d[1] for d in done], pa.binary())], ["block", "moved"])
+
+
+def _trained(docs: DataFrame, model: Model, words: pa.Array, known: int, passes: int = 1) -> Model:
+    """The model after one round over docs (text): each partition trains by itself, then the changes are averaged."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(pickle.dumps((model, words, known)))
+    fields = "block long, moved binary"
+    moved = docs.mapInArrow(lean(_train(shared, passes)), fields)
+    sums = moved.repartition("block").sortWithinPartitions("block").mapInArrow(lean(_add_up), fields).collect()  # the size of the model
+    rows, dense = np.zeros_like(_rows(model)), np.zeros_like(_dense(model))
+    for block, raw in sums:
+        values = np.frombuffer(raw, np.float64)
+        if block < 0:
+            dense += (values[:-1] / values[-1]).astype(np.float32)
+            continue
+        table = values.reshape(-1, rows.shape[1] + 1)
+        rows[block * ROWS : block * ROWS + len(table)] = table[:, :-1] / np.maximum(table[:, -1:], 1e-9)
+    _move(model, rows, dense)
+    shared.destroy()
+    return model
+
+
+def trained(training: DataFrame, model: Model, words: pa.Array, known: int, n_docs: int) -> Model:
+    """Warm start on about WARM_DOCS documents, then one round over all; about four times the root of the scan's tasks train."""
+    if not n_docs:
+        return model
+    some = training.sample(fraction=min(1.0, WARM_DOCS / n_docs), seed=SEED)
+    model = _trained(some.repartition(1), model, words, known, WARM_PASSES)  # rows whose number is bounded
+    tasks = training.rdd.getNumPartitions()
+    return _trained(training.coalesce(max(1, min(tasks, int(4 * np.sqrt(tasks))))), model, words, known)
+
+
+_FIELDS = "key long, doc_id long, held_out boolean, n_tokens long, n_known long, head_logs double, model_logs double, tail array<binary>, times array<int>"
+_NAMES = [f.split()[0] for f in _FIELDS.split(", ")]
 
 
 class Scorer:
-    """What scoring needs of the counts: class of each frequent word, count of each head word, totals, model table."""
+    """What scoring needs of the counts: head words with their logs, totals, model."""
 
-    def __init__(self, head: dict[bytes, int], n: int, v: int, n_docs: int, table: np.ndarray):
-        self.head, self.n, self.v, self.table = head, n, v, table
-        self.class_of = {w: i for i, w in enumerate(list(head)[:END])}
-        self.end_count = n_docs
+    def __init__(self, words: pa.Array, counts: np.ndarray, known: int, n: int, v: int, n_docs: int, model: Model):
+        self.words, self.known, self.model, self.n_docs = words, known, model, n_docs
+        self.end_log = float(np.log10(n_docs + 0.5))
         self.base_log = float(np.log10(n + 0.5 * (v + 1)))
-        rare_n = n - n_docs - sum(list(head.values())[:END])
-        rare_v = v - bool(n_docs) - len(self.class_of)
+        rare_n = n - n_docs - int(counts[:known].sum())
+        rare_v = v - bool(n_docs) - known
         self.rare_log = float(np.log10(rare_n + 0.5 * (rare_v + 1)))
-        self.slot = {w: i for i, w in enumerate(head)}
-        self.log_count = np.log10(np.array([*head.values(), 0], np.float64) + 0.5)
+        self.log_count = np.append(np.log10(counts + 0.5), 0.0)  # the last for words outside the head
+
+
+def _tails(rank: np.ndarray, flat: pa.Array, doc_at: np.ndarray, n: int) -> tuple[pa.Array, pa.Array]:
+    """Distinct words outside the head of each of n texts, and how often it has them."""
+    at = np.flatnonzero(rank < 0)
+    coded = flat.take(pa.array(at)).dictionary_encode()
+    width = max(len(coded.dictionary), 1)
+    pair, times = np.unique(doc_at[at] * width + coded.indices.to_numpy().astype(np.int64), return_counts=True)
+    offsets = pa.array(np.searchsorted(pair, np.arange(n + 1) * width), pa.int32())
+    return pa.ListArray.from_arrays(offsets, coded.dictionary.take(pa.array(pair % width))), pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32()))
 
 
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Scorer = pickle.loads(shared.value)
-        flat, key, none = m.table.reshape(-1), TaskContext.get().partitionId() << 36, len(m.log_count) - 1
+        key = TaskContext.get().partitionId() << 36
         for batch in batches:
-            rows = []
-            for doc, held, text in zip(*(c.to_pylist() for c in batch.columns)):
-                raw = lower_ascii(text)
-                words = raw.split()
-                at = np.fromiter(map(m.slot.get, words, [none] * len(words)), np.int64, len(words))
-                classes = np.append(np.where(at < END, at, RARE), END)
-                logs = m.log_count[at]
-                in_head = at < none
-                tail: dict[bytes, int] = {}
-                for i in np.flatnonzero(~in_head).tolist():
-                    tail[words[i]] = tail.get(words[i], 0) + 1
-                counts = float(logs[in_head].sum()) + np.log10(m.end_count + 0.5)
-                frequent = float(logs[at < END].sum()) + np.log10(m.end_count + 0.5)
-                n_rare = int((at >= END).sum())
-                model = float(flat[_codes(classes)].sum(dtype=np.float64)) - n_rare * m.rare_log
-                rows.append((key, doc, held, len(words) + 1, int(in_head.sum()) + (m.end_count > 0), counts, counts - frequent + model, list(tail), list(tail.values())))
-                key += 1
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SCHEMA)], schema=_SCHEMA)
+            for part in text_chunks(batch, 2):
+                symbol, sizes, rank, flat = numbered(part.column(2), m.words, m.known)
+                n = len(sizes)
+                first = np.cumsum(sizes) - sizes
+                doc_at = np.repeat(np.arange(n), sizes - 1)
+                model = np.add.reduceat(m.model.log10(contexts(symbol, sizes), symbol), first)
+                logs, in_head, rare = m.log_count[rank], rank >= 0, (rank < 0) | (rank >= m.known)
+                head_logs = np.bincount(doc_at, logs, n) + m.end_log
+                model += np.bincount(doc_at, np.where(rare & in_head, logs, 0.0) - rare * m.rare_log, n)
+                known = np.bincount(doc_at, in_head, n).astype(np.int64) + (m.n_docs > 0)
+                tail, times = _tails(rank, flat, doc_at, n)
+                made = [pa.array(key + np.arange(n)), part.column(0), part.column(1), pa.array(sizes), pa.array(known), pa.array(head_logs), pa.array(model), tail, times]
+                key += n
+                yield pa.RecordBatch.from_arrays(made, _NAMES)
 
     return run
 
 
-_SCHEMA = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("head_logs", pa.float64()), ("model_logs", pa.float64()), ("tail", pa.list_(pa.binary())), ("times", pa.list_(pa.int32()))])
+def _most_frequent(sizes: list[tuple[int, int]], most: int, least: int = 1) -> int:
+    """The smallest count such that no more than most words have it; sizes are (count, words with it), descending."""
+    total, lowest = 0, 2**62
+    for n, words in sizes:
+        total += words
+        if total > most or n < least:
+            break
+        lowest = n
+    return lowest
 
 
-def score(docs: DataFrame, head: int = HEAD) -> DataFrame:
+def score(docs: DataFrame, head: int = HEAD, share: float = SHARE) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document.
 
     Tokens: words with A-Z lower-cased, then one end. A null or empty text is one end. A row without doc_id trains and is
-    not held out; repeated rows count each time and get equal scores. With no training rows, every token is unknown.
+    not held out; repeated rows count each time, and equal texts get scores that are equal but for rounding. Of words
+    with equal counts all or none belong to the model, and all or none to the broadcast head. With no training rows, every
+    token is unknown; no rows give none. Very long texts are counted and scored in whole, a block of tokens at a time. Other columns
+    are not read. The model depends slightly on how rows are dealt to tasks.
     """
     spark = docs.sparkSession
     rows = texts(docs).withColumn("trains", train_fold(F.col("doc_id")))
     training = rows.where("trains").select("text")
-    counts = written(training.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    counts = written(training.mapInArrow(lean(_count), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     n_docs = training.count()
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(head).collect()  # head rows at most
-    head_counts = {bytes(r.word): r.n for r in top}
-    n, v = total.n + n_docs, total.v + bool(n_docs)
-    class_of = spark.sparkContext.broadcast({w: i for i, w in enumerate(list(head_counts)[:END])})
-    triples = training.mapInArrow(_triples(class_of), "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()  # CLASSES cubed rows at most
-    triples = triples.sort_values("code")
-    table = train(triples["code"].to_numpy(np.int64), triples["n"].to_numpy(np.float64))
-    scorer = Scorer(head_counts, n, v, n_docs, table)
+    sizes = [(r.n, r.words) for r in counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect()]  # about the root of the tokens at most
+    n, v = sum(a * b for a, b in sizes) + n_docs, sum(b for _, b in sizes) + bool(n_docs)
+    target = int(share * n**GROWTH)
+    model_least, head_least = _most_frequent(sizes, target, LEAST), _most_frequent(sizes, max(head, target))
+    top = sorted(((bytes(r.word), r.n) for r in counts.where(F.col("n") >= head_least).collect()), key=lambda r: (-r[1], r[0]))  # head rows, or target if that is more
+    words, of_words = pa.array([w for w, _ in top], pa.binary()), np.array([c for _, c in top], np.int64)
+    known = int((of_words >= model_least).sum())
+    rare_n = n - n_docs - int(of_words[:known].sum())
+    model = trained(training, Model(np.array([n_docs, rare_n, *of_words[:known]], np.float64)), words, known, n_docs)
+    scorer = Scorer(words, of_words, known, n, v, n_docs, model)
     shared = spark.sparkContext.broadcast(pickle.dumps(scorer))
-    fields = "key long, doc_id long, held_out boolean, n_tokens long, n_known long, head_logs double, model_logs double, tail array<binary>, times array<int>"
-    scored = written(rows.select("doc_id", ~F.col("trains"), "text").mapInArrow(_score(shared), fields), "scores")
+    scored = written(rows.select("doc_id", ~F.col("trains"), "text").mapInArrow(lean(_score(shared)), _FIELDS), "scores")
     tail = scored.select("key", F.explode(F.arrays_zip("tail", "times")).alias("x")).select("key", F.col("x.tail").alias("word"), F.col("x.times").alias("times"))
-    rest = counts.where(F.col("n") <= (top[-1].n if len(top) == head else 0)) if top else counts
-    looked_up = tail.join(rest, "word", "left").groupBy("key").agg(F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("tail_logs"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("tail_known"))
+    looked_up = tail.join(counts.where(F.col("n") < head_least), "word", "left").groupBy("key").agg(F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("tail_logs"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("tail_known"))
     tail_logs = F.coalesce("tail_logs", F.lit(0.0))
     return scored.select("key", "doc_id", "held_out", "n_tokens", "n_known", "head_logs", "model_logs").join(looked_up, "key", "left").select(
         "doc_id",

@@ -184,10 +184,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     Linked: 100 * intersection >= percent * union of the sets of shingle-word runs, A-Z lower-cased. component_id is the
     smallest doc_id reachable, kept whether it is the row's own. Null and empty texts have no shingles and link with nothing,
     not even each other. Rows with equal doc_id are each judged by their own text. A row without doc_id is linked with
-    nothing, has no component and is kept. No rows give none.
+    nothing, has no component and is kept. No rows give none. Very long texts are shingled in whole; other columns are not read.
     """
     spark, rows = docs.sparkSession, texts(docs)
-    parts = shuffle_partitions(spark)
+    parts = shuffle_partitions(docs)
     signed = written(rows.mapInArrow(lean(_sign(shingle)), "doc_id long, n_shingles long, skey binary, sig binary, bands array<long>"), "signed")
     usable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     firsts = usable.groupBy("skey").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n"), F.max(F.struct("sig", "bands")).alias("s"))

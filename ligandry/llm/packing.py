@@ -86,6 +86,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, length:
     """One row for each piece of each document: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids).
 
     A document's ids end with end_id, so an empty or null text is one piece of one token. Only documents of over length
-    tokens are cut. Rows with equal or null doc_id are packed like any others. No rows give no pieces.
+    tokens are cut, however long. Rows with equal or null doc_id, and repeated rows, are packed like any others; of equally
+    full bins any takes a piece. No rows give no pieces; other columns are not read.
     """
     return texts(docs).mapInArrow(lean(_pack(tokenizer or tokens.default_path(), end_id, length, open_bins, with_ids)), FIELDS + ", ids array<int>" * with_ids)

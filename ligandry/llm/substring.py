@@ -7,7 +7,9 @@ code by code that a run of equal hashes is one sequence, and reports the windows
 
 Skew: a map task settles repeats among its own documents first, in chunks of CHUNK bytes. Of equal windows in a chunk only
 the earliest document's go on, so a passage that a third of all rows share reaches its bucket once for each chunk, not
-once for each row.
+once for each row. A bucket holds at most HELD bytes of strings before it settles what it has; of equal windows it then
+keeps the earliest only, so what a hot bucket holds is its distinct windows, however often they come. Settled windows travel
+as runs, dealt by document.
 """
 
 from __future__ import annotations
@@ -23,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import lean, shingle_hashes, shuffle_partitions, word_hashes, written
+from .common import lean, mix, shingle_hashes, shuffle_partitions, word_hashes, written
 
-WINDOW, M, CHUNK = 13, 4, 4 << 20
+WINDOW, M, CHUNK, HELD = 13, 4, 4 << 20, 24 << 20
 
 
 def _codes(words: list[bytes]) -> np.ndarray:
@@ -124,9 +126,12 @@ def _deal(window: int, m: int, buckets: int):
             yield _settled(np.array(docs)[doc_at[hit]], np.array(keys)[doc_at[hit]], starts[hit] - base[doc_at[hit]], buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs, keys, raws, held = [], [], [], 0
+        docs, keys, raws, held, seen = [], [], [], 0, set()
         for batch in batches:
             for doc, key, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if (doc, key) in seen:  # the same row again: what is found for one holds for both
+                    continue
+                seen.add((doc, key))
                 raw = text.encode("utf-8", "surrogatepass")
                 docs.append(doc)
                 keys.append(key)
@@ -134,7 +139,7 @@ def _deal(window: int, m: int, buckets: int):
                 held += len(raw)
                 if held >= CHUNK:
                     yield from chunk(docs, keys, raws)
-                    docs, keys, raws, held = [], [], [], 0
+                    docs, keys, raws, held, seen = [], [], [], 0, set()
         if docs:
             yield from chunk(docs, keys, raws)
 
@@ -149,40 +154,75 @@ def _rows(bucket, docs, keys, blobs) -> pa.RecordBatch:
 
 
 def _settled(docs: np.ndarray, keys: np.ndarray, at: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Window starts found repeated, one row for each document."""
+    """Window starts found repeated, as runs (start, windows), one row for each document."""
     order = np.lexsort((at, keys, docs))
     docs, keys, at = docs[order], keys[order], at[order]
-    cuts = np.flatnonzero((np.diff(docs) != 0) | (np.diff(keys) != 0)) + 1
-    first = np.concatenate([[0], cuts])
-    return _rows([int(k) % buckets for k in keys[first]], docs[first].tolist(), keys[first].tolist(), [x.astype("<i4").tobytes() for x in np.split(at, cuts)])
-
-
-def _match(window: int, buckets: int):
-    """Windows of each bucket whose words have an earlier document. Rows come sorted by bucket."""
-
-    def bucket(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-        heads, strings = [], []
-        for blob in blobs:
-            raw = zstandard.ZstdDecompressor().decompress(blob)
-            n = struct.unpack_from("<I", raw)[0]
-            heads.append(np.frombuffer(raw, np.int64, 3 * n, 4).reshape(3, n))
-            strings += raw[4 + 24 * n :].split(b"\n")
-        docs, keys, at = np.concatenate(heads, axis=1)
-        n_of = np.array([s.count(b" ") + 1 for s in strings])
-        joined = b" ".join(strings)
-        codes, h = _codes(joined.split(b" ")), word_hashes(joined)
+    new = np.ones(len(at), bool)
+    new[1:] = (np.diff(docs) != 0) | (np.diff(keys) != 0)
+    breaks = new.copy()
+    breaks[1:] |= np.diff(at) > 1
+    run = np.flatnonzero(breaks)
+    ends = np.append(run[1:], len(at)) - 1
+    runs = np.stack([at[run], at[ends] - at[run] + 1], 1).astype("<i4")
+    first = np.flatnonzero(new)
+    dealt = (mix(docs[first].astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    return _rows(dealt.tolist(), docs[first].tolist(), keys[first].tolist(), [x.tobytes() for x in np.split(runs, np.searchsorted(run, first[1:]))])
+
+
+class _Bucket:
+    """Super-k-mers of one bucket."""
+
+    def __init__(self, window: int, buckets: int):
+        self.window, self.buckets = window, buckets
+        self.heads: list[np.ndarray] = []
+        self.strings: list[bytes] = []
+        self.held, self.limit = 0, HELD
+
+    def add(self, blob: bytes) -> Iterator[pa.RecordBatch]:
+        raw = zstandard.ZstdDecompressor().decompress(blob)
+        n = struct.unpack_from("<I", raw)[0]
+        self.heads.append(np.frombuffer(raw, np.int64, 3 * n, 4).reshape(3, n))
+        self.strings += raw[4 + 24 * n :].split(b"\n")
+        self.held += len(raw)
+        if self.held >= self.limit:
+            yield from self.settle(keep=True)
+            self.limit = max(HELD, 2 * self.held)
+
+    def settle(self, keep: bool = False) -> Iterator[pa.RecordBatch]:
+        """Report windows with an earlier document; with keep, go on with the others."""
+        if not self.strings:
+            return
+        docs, keys, at = np.concatenate(self.heads, axis=1)
+        n_of = np.array([s.count(b" ") + 1 for s in self.strings])
+        joined = b" ".join(self.strings)
+        words = joined.split(b" ")
+        codes, h = _codes(words), word_hashes(joined)
         base = np.cumsum(n_of) - n_of
-        n_win = n_of - window + 1
+        n_win = n_of - self.window + 1
         which = np.repeat(np.arange(len(n_of)), n_win)
         inner = np.arange(len(which)) - np.repeat(np.cumsum(n_win) - n_win, n_win)
         starts = base[which] + inner
-        hit = np.flatnonzero(repeated(codes, shingle_hashes(h, window)[starts], starts, docs[which], window))
+        known = repeated(codes, shingle_hashes(h, self.window)[starts], starts, docs[which], self.window)
+        hit = np.flatnonzero(known)
         if len(hit):
-            w = which[hit]
-            yield _settled(docs[w], keys[w], at[w] + inner[hit], buckets)
+            yield _settled(docs[which[hit]], keys[which[hit]], at[which[hit]] + inner[hit], self.buckets)
+        self.heads, self.strings, self.held = [], [], 0
+        left = np.flatnonzero(~known)
+        if keep and len(left):
+            new = np.ones(len(left), bool)
+            new[1:] = (np.diff(left) != 1) | (np.diff(which[left]) != 0)
+            first = left[np.flatnonzero(new)]
+            last = left[np.append(np.flatnonzero(new)[1:], len(left)) - 1]
+            self.heads = [np.stack([docs[which[first]], keys[which[first]], at[which[first]] + inner[first]])]
+            self.strings = [b" ".join(words[i:j]) for i, j in zip(starts[first].tolist(), (starts[last] + self.window).tolist())]
+            self.held = sum(map(len, self.strings)) + 24 * len(first)
+
+
+def _match(window: int, buckets: int):
+    """Windows of each bucket whose words have an earlier document. Rows come sorted by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, blobs = None, []
+        now, bucket = None, _Bucket(window, buckets)
         for batch in batches:
             passed = batch.filter(pc.is_valid(batch.column(1)))
             if passed.num_rows:
@@ -190,19 +230,17 @@ def _match(window: int, buckets: int):
             for b, doc, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist()):
                 if doc is not None:
                     continue
-                if b != now and blobs:
-                    yield from bucket(blobs)
-                    blobs = []
-                now = b
-                blobs.append(blob)
-        if blobs:
-            yield from bucket(blobs)
+                if b != now:
+                    yield from bucket.settle()
+                    now, bucket = b, _Bucket(window, buckets)
+                yield from bucket.add(blob)
+        yield from bucket.settle()
 
     return run
 
 
 def _cut(window: int):
-    """Words kept, from (doc_id, text, window starts found)."""
+    """Words kept, from (doc_id, text, runs of windows found)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,10 +249,10 @@ def _cut(window: int):
                 words = text.encode("utf-8", "surrogatepass").split()
                 gone = 0
                 if found:
-                    at = np.concatenate([np.frombuffer(x, "<i4") for x in found])
+                    at, n = np.concatenate([np.frombuffer(x, "<i4").reshape(-1, 2) for x in found]).T
                     edge = np.zeros(len(words) + 1, np.int64)
                     np.add.at(edge, at, 1)
-                    np.subtract.at(edge, at + window, 1)
+                    np.subtract.at(edge, at + n - 1 + window, 1)
                     covered = np.cumsum(edge[:-1]) > 0
                     gone = int(covered.sum())
                     words = [w for w, c in zip(words, covered.tolist()) if not c]
@@ -234,16 +272,16 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, m: int = M, bucket_fac
     Words are runs of bytes other than ASCII white space, compared unchanged. A null text has none. A row without doc_id is
     neither earlier nor later than any other and is kept whole. Rows with equal doc_id count as one document: none removes
     words of another; where their texts are equal too, each gets the same result. A text shorter than a window loses
-    nothing. Buckets: bucket_factor times spark.sql.shuffle.partitions.
+    nothing; very long texts are cut up like any others. Empty tables give no rows. Columns with names used here are safe in
+    carry. Buckets: bucket_factor for each partition, whose number grows with the input.
     """
-    spark = docs.sparkSession
-    parts = shuffle_partitions(spark)
+    parts = shuffle_partitions(docs)
     buckets = bucket_factor * parts
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *([F.struct(*carry).alias("carried")] if carry else [])).withColumn("tkey", F.xxhash64("text"))
     dealt = keyed.where("doc_id is not null").select("doc_id", "tkey", "text").mapInArrow(lean(_deal(window, m, buckets)), "bucket long, doc_id long, tkey long, blob binary")
     met = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(lean(_match(window, buckets)), "bucket long, doc_id long, tkey long, blob binary")
     settled = written(met.select("doc_id", "tkey", "blob"), "windows")
-    found = settled.groupBy("doc_id", "tkey").agg(F.collect_list("blob").alias("found"))
+    found = settled.groupBy("doc_id", "tkey").agg(F.collect_set("blob").alias("found"))  # repeated rows have the same runs
     joined = keyed.join(found, ["doc_id", "tkey"], "left").drop("tkey")
     kept = [f for f in joined.schema.fields if f.name != "found"]
     counted = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
@@ -253,8 +291,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, m: int = M, bucket_fac
 def without_repeats(docs: DataFrame, **how) -> DataFrame:
     """The documents with repeated words gone from text; those that lose none keep their text as it was."""
     carry = [c for c in docs.columns if c not in ("doc_id", "text")]
-    cut = remove_repeats(docs, carry=carry, **how)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    cut = remove_repeats(docs.withColumn("__null", F.col("text").isNull()), carry=[*carry, "__null"], **how)
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).when(~F.col("carried.__null"), F.col("text"))
     new = {"doc_id": F.col("doc_id"), "text": text} | {c: F.col(f"carried.`{c}`") for c in carry}
     if "n_chars" in new:
         new["n_chars"] = F.length(text).cast("long")

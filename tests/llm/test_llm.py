@@ -94,9 +94,11 @@ def test_url_rules_of_three_tokens(spark):
             for held in itertools.combinations(sorted(tokens_), k):
                 counts[held] += 1
                 blocked[held] += bad
-    want = {t: n for t, n in blocked.items() if n >= urls.MIN_COUNT and n / counts[t] >= urls.MIN_CONFIDENCE}
+    share = sum(blocked[x,] for x in ("host=x",)) / len(sets)
+    want = {t: (n, n / counts[t]) for t, n in blocked.items() if n >= urls.MIN_COUNT and n / counts[t] >= urls.MIN_LIFT * share}
     rules = urls.mine(spark.createDataFrame(sets, "tokens array<string>, bad boolean")).collect()
-    assert {tuple(r.tokens): r.n for r in rules} == want == {("host=x", "path=x", "query=x"): 25}
+    assert {tuple(r.tokens): (r.n, r.confidence) for r in rules} == want
+    assert {t for t, (_, c) in want.items() if c >= urls.MIN_CONFIDENCE} == {("host=x", "path=x", "query=x")}
     pages = [(i, f"http://{a}.io/{b}/{i}?{c}=1") for i, (a, b, c) in enumerate(kinds * 25)]
     labels = [(i, int((a, b, c) != ("x", "x", "x")), 0) for i, (a, b, c) in enumerate(kinds * 25)]
     judged = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
@@ -155,6 +157,7 @@ def brute_repeats(rows, window=13):
 @pytest.mark.parametrize("chunk", [4 << 20, 500])
 def test_substring(spark, docs, rows, empty, chunk, monkeypatch):
     monkeypatch.setattr(substring, "CHUNK", chunk)
+    monkeypatch.setattr(substring, "HELD", 2_000 if chunk == 500 else substring.HELD)
     got = collections.Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in substring.remove_repeats(docs).collect())
     assert got == brute_repeats(rows)
     assert substring.remove_repeats(empty).count() == 0
@@ -224,7 +227,7 @@ def test_licenses(spark, docs, rows):
     texts = ["Released under the MIT License.", "x CC BY-NC cc by nc y", "This work is licensed under the GNU General Public License, version 3.", "the gnu of general words", "Apache License, Version 2.0 " + "word " * 5_000, None, "", "Ünder the MIT license", "under the mit licenses"]
     table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r for r in licenses.scan(table.union(docs.select(F.col("doc_id") + 1000, "text"))).collect()}
-    assert [got[i].labels for i in range(9)] == ["mit", "cc-by-nc", "gpl-3", "", "apache-2", "", "", "mit", ""] or got[7].base_labels == ""
+    assert [got[i].labels for i in range(9)] == ["mit", "cc-by-nc", "gpl-3", "", "apache-2", "", "", "", ""]  # Ünder is another word
     assert (got[1].n_base, got[1].first_word, got[1].last_word) == (2, 1, 4) and got[2].n_base == 0 and got[2].score > 0.9
     assert got[5].n_words == 0 and got[5].first_word is None and got[6].score == 0
     for i, t in enumerate(texts):
@@ -269,14 +272,11 @@ def test_lm(docs, rows, empty):
     c = collections.Counter(w for i, ws in split if trains(i) for w in ws)
     n, v = sum(c.values()), len(c)
     want = sorted((str(i), not trains(i), len(ws), sum(c[w] > 0 for w in ws), n, round(sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws), 4)) for i, ws in split)
-    for head in (1 << 17, 140):
-        got = lm.score(docs, head=head).collect()
+    for head, share in ((1 << 17, 8.0), (20, 0.1)):
+        got = lm.score(docs, head=head, share=share).collect()
         assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4)) for r in got) == want
         assert all(r.score < 0 for r in got)
     assert lm.score(empty).count() == 0
-    codes = np.array([lm.CLASSES * 5 + 6, lm.CLASSES * 7 + 8])
-    table = lm.train(codes, np.array([900.0, 100.0]))
-    assert np.allclose((10.0 ** table.astype(float)).sum(1), 1, atol=1e-4) and table[5, 6] > table[7, 6]
 
 
 def brute_links(rows, k, percent=80):
@@ -351,7 +351,7 @@ def test_tiles_against_greedy():
         pairs = [(i, j) for i in range(len(a) - 1) for j in range(len(b) - 1) if a[i : i + 2] == b[j : j + 2]]
         if not pairs:
             continue
-        found = decontam.tiles(np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs]), 2)
+        found = decontam.tiles(np.array(a), np.array(b), 2)
         used_a = [i + k for i, _, n in found for k in range(n)]
         used_b = [j + k for _, j, n in found for k in range(n)]
         assert len(set(used_a)) == len(used_a) and len(set(used_b)) == len(used_b)
