@@ -28,7 +28,7 @@ from .common import lean, text_chunks, texts, written
 
 #: Words known to the model: SHARE * tokens ** GROWTH (1,200 at 0.3 million tokens, 60 thousand at 5 billion).
 SHARE, GROWTH, LEAST = 8.0, 0.4, 2
-WIDTH, ORDER, NOISE, BATCH, BLOCK, RATE, SEED = 24, 3, 6, 1_024, 1 << 14, 0.12, 7
+WIDTH, ORDER, NOISE, BATCH, BLOCK, RATE, SEED = 24, 3, 3, 2_048, 1 << 14, 0.15, 7
 #: Words whose counts are broadcast beside the model's; documents of the warm start and how often it passes over them.
 HEAD, WARM_DOCS, WARM_PASSES = 1 << 16, 1_500, 2
 #: Symbols in one message of a trainer.
@@ -88,7 +88,8 @@ class Model:
         self.of = np.arange(n) // self.size
         mass = np.bincount(self.of, share, self.classes)
         self.class_share, self.within = (mass / mass.sum()).astype(np.float32), (share / mass[self.of]).astype(np.float32)
-        self.edges = np.concatenate([[0], np.cumsum(share)])  # noise is drawn between the edges of a class
+        self.sizes = np.bincount(self.of, minlength=self.classes)
+        self.small = np.uint16 if n <= 1 << 16 else np.int64  # short keys sort faster
         f = np.float32
         self.params = {
             "context": (0.1 * rng.standard_normal((n, width))).astype(f),
@@ -107,45 +108,44 @@ class Model:
         s[at] += (grad * grad).mean(1) if p.ndim == 2 else grad * grad
         p[at] += RATE * grad / (np.sqrt(s[at])[:, None] if p.ndim == 2 else np.sqrt(s[at]))
 
-    @staticmethod
-    def _summed(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(ids, kind="stable")
-        ids = ids[order]
+    def _sorted(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct ids, the order that brings equal ones together, and where each begins in it."""
+        order = np.argsort(ids.astype(self.small), None, kind="stable")
+        ids = ids.reshape(-1).take(order)
         first = np.concatenate([[0], np.flatnonzero(np.diff(ids)) + 1])
-        return ids[first], np.add.reduceat(rows[order], first)
+        return ids.take(first), order, first
 
     def learn(self, before: np.ndarray, target: np.ndarray, rng: np.random.Generator) -> None:
-        """One step of noise-contrastive estimation; the noise of the class part is its exact expectation."""
-        p = self.params
-        held = p["context"][before]  # [ORDER, batch, width]
+        """One step of noise-contrastive estimation; the noise of the class part is its exact expectation, that of the symbol
+        part is drawn evenly from the class."""
+        p, n = self.params, len(target)
+        held = p["context"].take(before, 0)  # [ORDER, batch, width]
         h = sum(held[j] @ p["mixing"][j] for j in range(ORDER))
-        own = self.of[target]
+        own = self.of.take(target)
         noise = NOISE * self.class_share
-        odds = 1 / (1 + np.exp(-np.clip(h @ p["class"].T + p["class_bias"] - np.log(noise), -30, 30)))
-        at = np.arange(len(target))
+        odds = _sigmoid(h @ p["class"].T + (p["class_bias"] - np.log(noise)))
+        at = np.arange(n)
         miss = 1 - odds[at, own]
         odds *= -noise
         odds[at, own] += miss
         d_h = odds @ p["class"]
-        low, high = self.edges[own * self.size], self.edges[np.minimum((own + 1) * self.size, self.n)]
-        drawn = np.searchsorted(self.edges, low + (high - low) * rng.random((NOISE, len(target))), "right") - 1
-        drawn = np.clip(drawn, own * self.size, np.minimum((own + 1) * self.size, self.n) - 1)
-        words = np.concatenate([target[None], drawn])
-        q = p["symbol"][words]
-        score = np.einsum("bd,kbd->kb", h, q) + p["bias"][words] - np.log(NOISE * self.within[words])
-        error = -1 / (1 + np.exp(-np.clip(score, -30, 30)))
+        size = self.sizes.take(own)
+        words = np.concatenate([target[None], own * self.size + (rng.random((NOISE, n), np.float32) * size).astype(np.int64)])
+        np.minimum(words, own * self.size + size - 1, out=words)  # rounding up to the end
+        q = p["symbol"].take(words, 0)
+        error = -_sigmoid(np.einsum("bd,kbd->kb", h, q) + p["bias"].take(words) - np.log(NOISE / size).astype(np.float32))
         error[0] += 1
         d_h += np.einsum("kb,kbd->bd", error, q)
-        flat = words.reshape(-1)
-        ids, grad = self._summed(flat, np.concatenate([(error[:, :, None] * h).reshape(len(flat), -1), error.reshape(-1, 1)], 1))
-        self._climb("symbol", grad[:, :-1], ids)
-        self._climb("bias", grad[:, -1], ids)
+        ids, order, first = self._sorted(words)
+        pull = error.reshape(-1).take(order)
+        self._climb("symbol", np.add.reduceat(h.take(order % n, 0) * pull[:, None], first), ids)
+        self._climb("bias", np.add.reduceat(pull, first), ids)
         self._climb("class", odds.T @ h)
         self._climb("class_bias", odds.sum(0))
         d_held = np.concatenate([d_h @ p["mixing"][j].T for j in range(ORDER)])
         d_mixing = np.stack([held[j].T @ d_h for j in range(ORDER)])
-        ids, grad = self._summed(before.reshape(-1), d_held)
-        self._climb("context", grad, ids)
+        ids, order, first = self._sorted(before)
+        self._climb("context", np.add.reduceat(d_held.take(order, 0), first), ids)
         self._climb("mixing", d_mixing)
 
     def learn_all(self, before: np.ndarray, target: np.ndarray, rng: np.random.Generator) -> None:
@@ -158,25 +158,33 @@ class Model:
         mixed = [p["context"] @ p["mixing"][j] for j in range(ORDER)]
         for a in range(0, len(target), BLOCK):
             t, c = target[a : a + BLOCK], before[:, a : a + BLOCK]
-            h = sum(mixed[j][c[j]] for j in range(ORDER))
-            own = self.of[t]
+            h = sum(mixed[j].take(c[j], 0) for j in range(ORDER))
+            own = self.of.take(t)
             got = _chosen(h @ p["class"].T + p["class_bias"], own)
             order = np.argsort(own, kind="stable")
             first = np.concatenate([[0], np.flatnonzero(np.diff(own[order])) + 1, [len(t)]])
             for i, z in zip(first[:-1].tolist(), first[1:].tolist()):
                 rows = order[i:z]
                 low = int(own[rows[0]]) * self.size
-                got[rows] += _chosen(h[rows] @ p["symbol"][low : low + self.size].T + p["bias"][low : low + self.size], t[rows] - low)
+                got[rows] += _chosen(h.take(rows, 0) @ p["symbol"][low : low + self.size].T + p["bias"][low : low + self.size], t[rows] - low)
             out[a : a + BLOCK] = got
         return out / np.log(10)
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    np.clip(x, -30, 30, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
 def _chosen(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log of the soft maximum of each row at one place of it."""
     logits -= logits.max(1, keepdims=True)
     own = logits[np.arange(len(at)), at].astype(np.float64)
     np.exp(logits, out=logits)
-    return own - np.log(logits.sum(1, dtype=np.float64))
+    return own - np.log(logits.sum(1))
 
 
 def _rows(model: Model) -> np.ndarray:
