@@ -48,7 +48,7 @@ def scratch(spark: SparkSession, path: str) -> str:
 
 
 def release(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
-    """Delete scratch tables marked after the first since, but for keep, a table of written(). Nothing may still read them."""
+    """Delete scratch tables marked after the first since, but for those that keep reads. Nothing else may still read them."""
     kept = {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for f in keep.inputFiles()} if keep is not None else set()
     for path in [p for p in _scratch[since:] if p.rsplit("/", 1)[-1] not in kept]:
         _scratch.remove(path)

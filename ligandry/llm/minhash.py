@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import BROADCAST_IDS, lean, lower_ascii, mix, shingle_hashes, shuffle_partitions, texts, word_hashes, written
+from .common import BROADCAST_IDS, lean, lower_ascii, mix, release, scratch_tables, shingle_hashes, shuffle_partitions, texts, word_hashes, written
 from .components import components
 
 SHINGLE, PERCENT = 5, 80
@@ -186,7 +186,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     not even each other. Rows with equal doc_id are each judged by their own text. A row without doc_id is linked with
     nothing, has no component and is kept. No rows give none. Very long texts are shingled in whole; other columns are not read.
     """
-    spark, rows = docs.sparkSession, texts(docs)
+    spark, rows, before = docs.sparkSession, texts(docs), scratch_tables()
     parts = shuffle_partitions(docs)
     signed = written(rows.mapInArrow(lean(_sign(shingle)), "doc_id long, n_shingles long, skey binary, sig binary, bands array<long>"), "signed")
     usable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -234,4 +234,5 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     alone = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("skey"))
     joined = signed.select("doc_id", "n_shingles", alone.alias("skey")).join(named, "skey", "left")
     component = F.coalesce("component", "doc_id")
+    release(spark, before, keep=joined)  # all but the signatures and the names of classes
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
