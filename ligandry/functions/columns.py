@@ -91,10 +91,17 @@ def failure_reasons(bounds: Mapping[str, tuple[float | None, float | None]], unk
     return F.concat_ws("; ", *parts) if parts else F.lit("")
 
 
-def on_bits(vector: Column, n_words: int = 1) -> Column:
-    """Sign bits of a vector packed into 64-bit words."""
-    word = lambda k: F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"), lambda acc, i: acc.bitwiseOR(F.when(F.get(vector, i + 64 * k) > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))))
-    return F.array(*[word(k) for k in range(n_words)])
+def on_bits(vector: Column) -> Column:
+    """Sign bits of a vector packed into 64-bit words, as many as its length needs; null for null."""
+    zero = F.lit(0).cast("long")
+    bit = lambda k: lambda acc, i: acc.bitwiseOR(F.when(F.get(vector, i + 64 * k) > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(zero))
+    words = F.transform(F.sequence(F.lit(0), F.ceil(F.size(vector) / 64).cast("int") - 1), lambda k: F.aggregate(F.sequence(F.lit(0), F.lit(63)), zero, bit(k)))
+    return F.when(F.size(vector) > 0, words).when(vector.isNotNull(), F.array().cast("array<long>"))
+
+
+def token_atom_ratio(tokens: Column, atoms: Column) -> Column:
+    """Tokens for each heavy atom; null without atoms."""
+    return F.when(atoms > 0, tokens / atoms)
 
 
 def tanimoto(a: Column, b: Column) -> Column:

@@ -58,15 +58,13 @@ def standardise(df: DataFrame, p: AssayParams) -> DataFrame:
     return df.withColumn(label, minus_log10(value, conversion(p.units(), p.legacy_units)) if measurement(p.standard_type).potency else no_nan(value))
 
 
-def suspicious_keys(df: DataFrame, key: str, value: str, margin: float = 1e-4, gaps=(3.0,), exact: bool = True) -> DataFrame:
-    """Keys with two values whose difference is one of gaps, give or take margin (exact), or is at most gap + margin.
+def suspicious_keys(df: DataFrame, key: str, value: str, margin: float = 1e-4, gaps=(3.0,)) -> DataFrame:
+    """Keys with two values whose difference is one of gaps, give or take margin.
 
     Values are sorted within salted range slices of a key by the shuffle; a value only meets those in its own or the next
     slice of width gap, so the pairs of a large key stay with the values that can match.
     """
     v = df.where(F.col(key).isNotNull()).select(F.col(key), F.col(value).alias("v")).where("v IS NOT NULL").distinct()
-    if not exact:
-        raise ValueError("only near-exact gaps mark transcription errors")
     found = None
     for gap in gaps:
         width = 2 * margin
@@ -105,20 +103,20 @@ def consistent(stats: DataFrame, std: float, spread: float) -> DataFrame:
 
 
 def earliest_rows(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The first row of each key in that order, by one hash aggregate."""
-    first = df.groupBy(key).agg(F.min_by(F.struct(*[c for c in df.columns if c != key]), F.struct(*order)).alias("row"))
-    return first.select(key, "row.*")
+    """The first row of each key in that order. Each task passes on only its own first rows before the shuffle."""
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    return ranked.where("_rank = 1").drop("_rank")
 
 
 def representatives(df: DataFrame, key: str, value: str, order: list[str], std: float, spread: float) -> DataFrame:
     """The earliest row of each consistent key, its value replaced by the mean, with min, max, std and count.
 
-    One aggregate gives statistics and row together, so activities are shuffled once. Null values are no evidence: a key
-    without any value goes.
+    Statistics come from a hash aggregate over two columns; whole rows are moved only if they are first in their task. Null
+    values are no evidence: a key without any value goes.
     """
-    rest = [c for c in df.columns if c not in (key, value)]
-    both = df.groupBy(key).agg(F.avg(value).alias(value), F.min(value).alias("min"), F.max(value).alias("max"), F.coalesce(F.stddev_samp(value), F.lit(0.0)).alias("std"), F.count(value).alias("count"), F.min_by(F.struct(*rest), F.struct(*order)).alias("row"))
-    return consistent(both, std, spread).select(key, "row.*", value, "min", "max", "std", "count")
+    stats = consistent(duplicate_stats(df, key, value).withColumnRenamed("mean", value), std, spread)
+    rest = [c for c in df.columns if c not in (key, value, "min", "max", "std", "count")]
+    return earliest_rows(df.where(F.col(key).isNotNull()), key, order).select(key, *rest).join(stats, key).select(key, *rest, value, "min", "max", "std", "count")
 
 
 def conflicting_ids(df: DataFrame, key: str, identity: str) -> DataFrame:
@@ -133,6 +131,29 @@ def condition_frequency(df: DataFrame, fields: list[str], top_n: int) -> DataFra
     return shared.orderBy(F.desc("n"), *[F.asc_nulls_last(f) for f in fields]).limit(top_n)
 
 
+def condition_report(df: DataFrame, p: AssayParams, fields: tuple[str, ...] = ("standard_type", "assay_type", "target_organism", "bao_format")) -> DataFrame:
+    """The most frequent conditions among all rows (RAW) and among usable ones (VALID), with the format's label."""
+    found = None
+    for name, rows in (("RAW", df), ("VALID", df.filter(reduce(lambda a, b: a & b, validity(p))))):
+        part = condition_frequency(rows, list(fields), p.top_n).withColumn("subset", F.lit(name))
+        found = part if found is None else found.unionByName(part)
+    return found.withColumn("format", bao_label(F.col("bao_format"))) if "bao_format" in fields else found
+
+
+def recommended(report: DataFrame, p: AssayParams) -> dict[str, tuple[object, object]]:
+    """Fields in which the parameters differ from the most frequent usable condition, as (configured, found); empty if best."""
+    best = report.where("subset = 'VALID'").orderBy(F.desc("n")).first()
+    if best is None:
+        return {}
+    return {f: (getattr(p, f), best[f]) for f in ("standard_type", "assay_type", "target_organism", "bao_format") if f in best and best[f] != getattr(p, f)}
+
+
+def summary(stats: DataFrame, std: float, spread: float) -> DataFrame:
+    """One row: groups, singles, aggregated and removed groups of duplicate_stats()."""
+    ok = (F.col("std") < std) & (F.abs(F.col("max") - F.col("min")) < spread)
+    return stats.agg(F.count("*").alias("groups"), F.count_if(F.col("count") == 1).alias("singles"), F.count_if((F.col("count") > 1) & ok).alias("aggregated"), F.count_if(~ok).alias("removed"))
+
+
 def bao_label(c: Column) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in BAO_FORMATS.items() for x in kv]), c), F.lit("unmapped"))
 

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.columns import tanimoto
-
 #: Units beyond which all-pairs work must be asked for.
 MAX_UNITS = 10_000
 
@@ -39,29 +39,125 @@ def random_ranks(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     return df.sparkSession.createDataFrame([(i, int(r)) for i, r in enumerate(places)], "pos long, rank long")
 
 
-def pairs(units_bits: DataFrame, max_units: int = MAX_UNITS, n: int | None = None) -> DataFrame:
-    """a, b, distance of all pairs a < b of (id, bits). Quadratic, so more than max_units are refused."""
-    n = units_bits.count() if n is None else n
-    if n > max_units:
-        raise ValueError(f"{n} units make too many pairs; the limit is {max_units}")
-    left, right = units_bits.select(F.col("id").alias("a"), F.col("bits").alias("x")), units_bits.select(F.col("id").alias("b"), F.col("bits").alias("y"))
-    return left.join(F.broadcast(right), F.col("a") < F.col("b")).select("a", "b", (1 - tanimoto(F.col("x"), F.col("y"))).alias("distance"))  # at most max_units rows
+def isolation_ranks(scores: DataFrame, pos: str = "pos") -> DataFrame:
+    """rank of each unit for greedy_fill: the most isolated first, of equal ones the later unit."""
+    return scores.withColumn("rank", F.struct(-F.col("score"), -F.col(pos)))
+
+
+class Fingerprints:
+    """Packed fingerprints of a bounded number of units as one 0/1 matrix, compared in blocks of matrix products."""
+
+    def __init__(self, ids: list, packed: np.ndarray):
+        self.ids = np.array(ids)
+        self.bits = _unpacked(packed)
+        self.counts = self.bits.sum(1)
+
+    def distances(self, packed: np.ndarray) -> np.ndarray:
+        """1 - Tanimoto of each row to all units; 1 where neither has a bit."""
+        bits = _unpacked(packed)
+        both = (bits @ self.bits.T).astype(np.float64)
+        either = bits.sum(1)[:, None] + self.counts - both
+        return 1 - np.divide(both, either, out=np.zeros_like(both, np.float64), where=either > 0)
+
+
+def _unpacked(packed: np.ndarray) -> np.ndarray:
+    return np.unpackbits(np.ascontiguousarray(packed).view(np.uint8), axis=1).astype(np.float32)
+
+
+def _packed(column: pa.ListArray) -> np.ndarray:
+    lists = column.flatten().to_numpy().astype(np.int64)
+    return lists.reshape(len(column), -1) if len(column) else lists.reshape(0, 1)
+
+
+def fingerprints(units_bits: DataFrame, max_units: int = MAX_UNITS, extra: tuple[str, ...] = ()) -> tuple[Fingerprints, list]:
+    """The units (id, bits) and their rows, ordered by id. More than max_units are refused, so both are bounded."""
+    rows = units_bits.where("bits IS NOT NULL").select("id", "bits", *extra).limit(max_units + 1).collect()
+    if len(rows) > max_units:
+        raise ValueError(f"more than {max_units} units make too many pairs")
+    if len({len(r.bits) for r in rows}) > 1:
+        raise ValueError("fingerprints differ in length")
+    rows.sort(key=lambda r: r.id)
+    return Fingerprints([r.id for r in rows], np.array([r.bits for r in rows], np.int64).reshape(len(rows), -1)), rows
+
+
+#: Units compared in one matrix product.
+BLOCK = 512
+
+
+def _blocks(shared, schema: pa.Schema, each):
+    """A kernel that gives each block's (held, ids, distances) to each() and yields its columns."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
+        for batch in batches:
+            for a in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(a, BLOCK)
+                ids = part.column(0).to_numpy(zero_copy_only=False)
+                columns = each(held, ids, held[0].distances(_packed(part.column(1))))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
+    return run
 
-def isolation(distances: DataFrame, sizes: DataFrame) -> DataFrame:
-    """id, score: mean distance to all other molecules, weighted by unit size; 0 for a unit alone."""
-    both = distances.select(F.col("a").alias("id"), F.col("b").alias("other"), "distance").union(distances.select(F.col("b"), F.col("a"), "distance"))
-    other = sizes.select(F.col("id").alias("other"), "size")
-    summed = both.join(other, "other").groupBy("id").agg((F.sum(F.col("distance") * F.col("size")) / F.sum("size")).alias("score"))
-    return sizes.select("id").join(summed, "id", "left").select("id", F.coalesce("score", F.lit(0.0)).alias("score"))
 
+def _spread(units_bits: DataFrame) -> DataFrame:
+    known = units_bits.where("bits IS NOT NULL").select("id", "bits")
+    return known.repartition(known.sparkSession.sparkContext.defaultParallelism)
 
-def nearest_summary(distances: DataFrame, labels: DataFrame) -> DataFrame:
+
+def pairs(units_bits: DataFrame, max_units: int = MAX_UNITS) -> DataFrame:
+    """a, b, distance of all pairs a < b of (id long, bits). Quadratic, so more than max_units are refused."""
+    found, _ = fingerprints(units_bits, max_units)
+    shared = units_bits.sparkSession.sparkContext.broadcast((found,))
+
+    def each(held, ids, d):
+        i, j = np.nonzero(ids[:, None] < held[0].ids)
+        return ids[i], held[0].ids[j], d[i, j]
+
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("distance", pa.float64())])
+    return _spread(units_bits).mapInArrow(_blocks(shared, schema, each), "a long, b long, distance double")
+
+
+def isolation(units_bits: DataFrame, max_units: int = MAX_UNITS) -> DataFrame:
+    """id, score of units (id long, bits, size): mean distance to all other molecules, weighted by unit size; 0 for a unit alone."""
+    found, rows = fingerprints(units_bits, max_units, ("size",))
+    shared = units_bits.sparkSession.sparkContext.broadcast((found, np.array([r.size for r in rows], np.float64)))
+
+    def each(held, ids, d):
+        sizes = held[1]
+        d[ids[:, None] == held[0].ids] = 0
+        rest = sizes.sum() - sizes[np.searchsorted(held[0].ids, ids)]
+        return ids, np.divide(d @ sizes, rest, out=np.zeros(len(ids)), where=rest > 0)
+
+    schema = pa.schema([("id", pa.int64()), ("score", pa.float64())])
+    return _spread(units_bits).mapInArrow(_blocks(shared, schema, each), "id long, score double")
+
+
+def nearest(units_bits: DataFrame, max_units: int = MAX_UNITS) -> DataFrame:
+    """id, query, reference, d of rows (id long, bits, split): the distance to the nearest other row of each split."""
+    found, rows = fingerprints(units_bits, max_units, ("split",))
+    names = sorted({r.split for r in rows})
+    shared = units_bits.sparkSession.sparkContext.broadcast((found, np.array([names.index(r.split) for r in rows], np.int64)))
+
+    def each(held, ids, d):
+        d[ids[:, None] == held[0].ids] = np.inf
+        own = held[1][np.searchsorted(held[0].ids, ids)]
+        least = np.stack([d[:, held[1] == k].min(1, initial=np.inf) for k in range(len(names))], 1)
+        i, k = np.nonzero(np.isfinite(least))
+        return ids[i], [names[x] for x in own[i]], [names[x] for x in k], least[i, k]
+
+    schema = pa.schema([("id", pa.int64()), ("query", pa.string()), ("reference", pa.string()), ("d", pa.float64())])
+    return _spread(units_bits).mapInArrow(_blocks(shared, schema, each), "id long, query string, reference string, d double")
+
+
+def nearest_summary(units_bits: DataFrame, max_units: int = MAX_UNITS) -> DataFrame:
     """For each pair of splits: how far the rows of the first are from their nearest one in the second."""
-    both = distances.select("a", "b", "distance").union(distances.select(F.col("b"), F.col("a"), "distance"))
-    q, r = labels.select(F.col("id").alias("a"), F.col("split").alias("query")), labels.select(F.col("id").alias("b"), F.col("split").alias("reference"))
-    nearest = both.join(q, "a").join(r, "b").groupBy("a", "query", "reference").agg(F.min("distance").alias("d"))
-    return nearest.groupBy("query", "reference").agg(F.avg("d").alias("mean"), F.percentile("d", 0.5).alias("median"), F.percentile("d", 0.1).alias("p10"), F.percentile("d", 0.9).alias("p90"), F.count("*").alias("n"))
+    found = nearest(units_bits, max_units)
+    return found.groupBy("query", "reference").agg(F.avg("d").alias("mean"), F.percentile("d", 0.5).alias("median"), F.percentile("d", 0.1).alias("p10"), F.percentile("d", 0.9).alias("p90"), F.count("*").alias("n"))
+
+
+def fingerprint_qc(df: DataFrame, bits: str = "bits") -> DataFrame:
+    """Rows of each split with and without a fingerprint."""
+    return df.groupBy("split").agg(F.count("*").alias("n_total"), F.count(bits).alias("n_valid"), F.count_if(F.col(bits).isNull()).alias("n_failed"))
 
 
 def composition(df: DataFrame) -> DataFrame:

@@ -158,8 +158,7 @@ def conflicting_ids(spark, sf_dir):
 
 @query("SELECT count(*) AS groups, count(*) FILTER (n = 1) AS singles, count(*) FILTER (n > 1 AND ok) AS aggregated, count(*) FILTER (NOT ok) AS removed FROM (SELECT count(*) AS n, coalesce(stddev_samp(v), 0) < 0.5 AND max(v) - min(v) < 1 AS ok FROM (SELECT l_partkey, -log10(l_extendedprice / 1e9) AS v FROM lineitem) GROUP BY l_partkey)")
 def aggregation_summary(spark, sf_dir):
-    s = assays.duplicate_stats(activities(spark, sf_dir), "l_partkey", "pvalue").withColumn("ok", (F.col("std") < 0.5) & (F.col("max") - F.col("min") < 1))
-    return s.agg(F.count("*").alias("groups"), F.count_if(F.col("count") == 1).alias("singles"), F.count_if((F.col("count") > 1) & F.col("ok")).alias("aggregated"), F.count_if(~F.col("ok")).alias("removed"))
+    return assays.summary(assays.duplicate_stats(activities(spark, sf_dir), "l_partkey", "pvalue"), 0.5, 1.0)
 
 
 def _dedup(keep):
@@ -200,10 +199,9 @@ def token_count(spark, sf_dir):
     return tokenized(spark, sf_dir).select("doc_id", F.size("tokens").cast("long").alias("seqlen"))
 
 
-@query("SELECT doc_id, CASE WHEN strpos(text, '$') > 0 THEN replace(substr(text, 1, strpos(text, '$') - 1), '^', '') ELSE replace(text, '^', '') END AS text FROM documents WHERE strpos(text, '[') = 0")
+@query(f"WITH {TOK} SELECT doc_id, array_to_string(list_filter(tokens[1 : list_position(tokens, '$') - 1], lambda x: x <> '^'), '') AS text FROM tok")
 def untokenize(spark, sf_dir):
-    plain = read(spark, sf_dir, "documents").where(~F.contains("text", F.lit("[")))
-    return plain.select("doc_id", fn.untokenize(fn.tokenize(F.col("text"))).alias("text"))
+    return tokenized(spark, sf_dir).select("doc_id", fn.untokenize(F.col("tokens")).alias("text"))
 
 
 @query(f"WITH {TOK}, {VOC} SELECT token, id FROM voc")
@@ -266,10 +264,10 @@ def _skew(c):
     return f"(avg({c}*{c}*{c}) - 3*avg({c})*avg({c}*{c}) + 2*avg({c})**3) / pow(var_pop({c}), 1.5)"
 
 
-@query(" UNION ALL ".join(f"SELECT '{c}' AS property, count({c}) AS count, round_even(avg({c}), 2) AS mean, round_even(stddev_samp({c}), 2) AS std, round_even(min({c}), 2) AS min, round_even(max({c}), 2) AS max, round_even(quantile_cont({c}, 0.5), 2) AS median, abs(round_even({_skew(c)}, 1)) AS skew, round_even(kurtosis_pop({c}), 2) AS kurtosis FROM lineitem" for c in PROPS))
+@query(" UNION ALL ".join(f"SELECT '{c}' AS property, count({c}) AS count, round_even(avg({c}), 2) AS mean, round_even(stddev_samp({c}), 2) AS std, round_even(min({c}), 2) AS min, round_even(max({c}), 2) AS max, round_even(quantile_cont({c}, 0.5), 2) AS median, round_even({_skew(c)}, 2) + 0.0 AS skew, round_even(kurtosis_pop({c}), 2) AS kurtosis FROM lineitem" for c in PROPS))
 def distribution_stats(spark, sf_dir):
     found = distributions.statistics(read(spark, sf_dir, "lineitem"), PROPS)
-    return found.withColumn("skew", F.abs(F.bround("skew", 1)))
+    return found.withColumn("skew", F.col("skew") + 0.0)  # no negative zero
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_quantity BETWEEN 5 AND 30 AND l_extendedprice <= 50000")
@@ -392,24 +390,23 @@ def retrieval_curve(spark, sf_dir):
     return split.retrieval_curve(read(spark, sf_dir, "part"), "p_brand")
 
 
-BITS = "e AS (SELECT vec_id AS id, label, embedding AS v FROM embeddings WHERE vec_id < 1000000000)"
+BITS = "e AS (SELECT vec_id AS id, label, embedding AS v FROM embeddings)"
 PAIR = f"{BITS}, pr AS (SELECT x.id AS a, y.id AS b, CASE WHEN len(list_filter(list_zip(x.v, y.v), lambda t: t[1] > 0 OR t[2] > 0)) > 0 THEN 1 - len(list_filter(list_zip(x.v, y.v), lambda t: t[1] > 0 AND t[2] > 0)) / len(list_filter(list_zip(x.v, y.v), lambda t: t[1] > 0 OR t[2] > 0)) ELSE 1 END AS distance FROM e x JOIN e y ON x.id < y.id)"
 
 
-def _pairs(spark, sf_dir):
-    vectors = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), fn.on_bits(F.col("embedding")).alias("bits"))
-    return split.pairs(vectors)
+def _vectors(spark, sf_dir):
+    return read(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("id"), "label", fn.on_bits(F.col("embedding")).alias("bits"))
 
 
 @query(f"WITH {PAIR} SELECT a, b, round(distance, 6) AS distance FROM pr")
 def tanimoto_pairs(spark, sf_dir):
-    return rounded(_pairs(spark, sf_dir), "distance")
+    return rounded(split.pairs(_vectors(spark, sf_dir)), "distance")
 
 
 @query(f"WITH {PAIR}, both_ways AS (SELECT a AS id, b AS other, distance FROM pr UNION ALL SELECT b, a, distance FROM pr) SELECT id, round(sum(distance * (o.label + 1)) / sum(o.label + 1), 6) AS score FROM both_ways JOIN (SELECT id AS other, label FROM e) o USING (other) GROUP BY id")
 def isolation_scores(spark, sf_dir):
-    sizes = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), (F.col("label") + 1).cast("long").alias("size"))
-    return rounded(split.isolation(_pairs(spark, sf_dir), sizes), "score")
+    sized = _vectors(spark, sf_dir).withColumn("size", (F.col("label") + 1).cast("long"))
+    return rounded(split.isolation(sized), "score")
 
 
 @query(f"""WITH {PAIR}, l AS (SELECT id, CASE WHEN label = 0 THEN 'test' WHEN label = 1 THEN 'val' ELSE 'train' END AS split FROM e), w AS (SELECT a, b, distance FROM pr UNION ALL SELECT b, a, distance FROM pr),
@@ -417,8 +414,7 @@ n AS (SELECT w.a, x.split AS query, y.split AS reference, min(distance) AS d FRO
 SELECT query, reference, round(avg(d), 6) AS mean, round(quantile_cont(d, 0.5), 6) AS median, round(quantile_cont(d, 0.1), 6) AS p10, round(quantile_cont(d, 0.9), 6) AS p90, count(*) AS n FROM n GROUP BY ALL""")
 def nn_distances(spark, sf_dir):
     label = F.when(F.col("label") == 0, "test").when(F.col("label") == 1, "val").otherwise("train")
-    labels = read(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), label.alias("split"))
-    return rounded(split.nearest_summary(_pairs(spark, sf_dir), labels), "mean", "median", "p10", "p90")
+    return rounded(split.nearest_summary(_vectors(spark, sf_dir).withColumn("split", label)), "mean", "median", "p10", "p90")
 
 
 @query(f"WITH {SPLIT} SELECT split, round(avg(p_retailprice), 6) AS mean, round(stddev_pop(p_retailprice), 6) AS std, count(p_retailprice) AS n FROM lab GROUP BY split")
@@ -435,3 +431,72 @@ def ks_statistic(spark, sf_dir):
 @query("SELECT p_partkey, CASE WHEN p_size > 0 THEN round(p_retailprice / p_size, 6) ELSE 0.0 END AS ratio FROM part")
 def safe_ratios(spark, sf_dir):
     return read(spark, sf_dir, "part").select("p_partkey", F.round(fn.safe_ratio(F.col("p_retailprice"), F.col("p_size")), 6).alias("ratio"))
+
+
+# Operators on activity columns, made from the tables by projection
+
+SHAPED = """s AS (SELECT l_orderkey AS activity_id, l_linenumber AS line, p_type AS canonical_smiles, l_extendedprice AS standard_value, CASE l_returnflag WHEN 'N' THEN 'nM' ELSE 'uM' END AS standard_units, CASE l_linestatus WHEN 'O' THEN 'IC50' ELSE 'Ki' END AS standard_type,
+CASE WHEN l_linenumber < 6 THEN '=' ELSE '>' END AS standard_relation, CASE WHEN l_quantity > 2 THEN 1 ELSE 0 END AS standard_flag, CASE WHEN l_quantity > 48 THEN 1 ELSE 0 END AS potential_duplicate, CASE WHEN l_discount > 0.01 THEN l_discount END AS pchembl_value,
+CASE WHEN l_tax > 0.07 THEN 'odd' END AS data_validity_comment, year(l_shipdate) AS document_year, p_brand AS document_chembl_id, CASE WHEN p_size > 3 THEN 'B' ELSE 'F' END AS assay_type, p_name AS assay_description, 'Homo sapiens' AS target_organism,
+CASE WHEN p_size > 5 THEN 'BAO_0000357' WHEN p_size > 4 THEN 'BAO_0000219' ELSE 'x' END AS bao_format FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+USABLE = "standard_flag = 1 AND potential_duplicate = 0 AND standard_value IS NOT NULL AND canonical_smiles IS NOT NULL AND document_year IS NOT NULL AND document_chembl_id IS NOT NULL AND data_validity_comment IS NULL AND pchembl_value IS NOT NULL"
+PASSED = f"standard_type = 'IC50' AND assay_type = 'B' AND target_organism = 'Homo sapiens' AND bao_format = 'BAO_0000357' AND standard_units = 'nM' AND standard_relation = '=' AND {USABLE} AND NOT regexp_matches(assay_description, 'green', 'i') AND NOT regexp_matches(assay_description, 'red', 'i')"
+CONDITIONS = "standard_type, assay_type, target_organism, bao_format"
+ASSAY = assays.AssayParams(mutant_regex="green", allosteric_regex="red")
+
+
+def shaped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line, part = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "part")
+    chosen = SHAPED[SHAPED.index("SELECT") + 7 : SHAPED.index(" FROM lineitem")]
+    return line.join(part, F.col("l_partkey") == F.col("p_partkey")).selectExpr(*[c.strip() for c in chosen.replace("\n", " ").split(", ")])
+
+
+@query(f"WITH {SHAPED} SELECT activity_id, line, canonical_smiles, round(-log10(standard_value / 1e9), 6) AS \"pIC50\" FROM s WHERE {PASSED}")
+def assay_rules(spark, sf_dir):
+    done = assays.standardise(assays.assay_filter(shaped(spark, sf_dir), ASSAY), ASSAY)
+    return rounded(done.select("activity_id", "line", "canonical_smiles", "pIC50"), "pIC50")
+
+
+@query(f"""WITH {SHAPED}, r AS (SELECT 'RAW' AS subset, {CONDITIONS}, count(*) AS n FROM s GROUP BY ALL UNION ALL SELECT 'VALID', {CONDITIONS}, count(*) FROM s WHERE {USABLE} GROUP BY ALL),
+t AS (SELECT *, round(100.0 * n / sum(n) OVER (PARTITION BY subset), 4) AS percent, row_number() OVER (PARTITION BY subset ORDER BY n DESC, {CONDITIONS}) AS k FROM r)
+SELECT subset, {CONDITIONS}, n, percent, CASE bao_format WHEN 'BAO_0000357' THEN 'protein' WHEN 'BAO_0000219' THEN 'cell' ELSE 'unmapped' END AS format FROM t WHERE k <= 5""")
+def condition_report(spark, sf_dir):
+    return assays.condition_report(shaped(spark, sf_dir), ASSAY)
+
+
+@query("""WITH v AS (SELECT l_partkey AS k, l_linenumber * 1.5 AS v FROM lineitem) SELECT DISTINCT a.k AS l_partkey FROM v a JOIN v b ON a.k = b.k AND abs(b.v - a.v - 3) < 1e-4""")
+def suspicious_keys_gap3(spark, sf_dir):
+    line = read(spark, sf_dir, "lineitem").select("l_partkey", (F.col("l_linenumber") * 1.5).alias("v"))
+    return assays.suspicious_keys(line, "l_partkey", "v", 1e-4)
+
+
+@query("WITH v AS (SELECT l_suppkey AS k, l_extendedprice AS v, row_number() OVER () AS i FROM lineitem) SELECT DISTINCT a.k AS l_suppkey FROM v a JOIN v b ON a.k = b.k AND a.i < b.i AND abs(b.v - a.v) <= 0.01")
+def repeated_keys(spark, sf_dir):
+    return assays.repeated_keys(read(spark, sf_dir, "lineitem"), "l_suppkey", "l_extendedprice", 0.01)
+
+
+@query(f"WITH {TOK}, {VOC} SELECT doc_id, array_to_string(tokens, '|') AS tokens FROM tok")
+def decode(spark, sf_dir):
+    tok = tokenized(spark, sf_dir)
+    known = vocabulary.Vocabulary.from_frame(tok)
+    ids = fn.encode(F.col("tokens"), known.as_map())
+    return tok.select("doc_id", F.array_join(fn.decode(ids, known.as_inverse_map()), "|").alias("tokens"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN round(c_nationkey / c_acctbal, 6) END AS ratio FROM customer")
+def token_atom_ratios(spark, sf_dir):
+    return read(spark, sf_dir, "customer").select("c_custkey", F.round(fn.token_atom_ratio(F.col("c_nationkey"), F.col("c_acctbal")), 6).alias("ratio"))
+
+
+@query(f"WITH {SPLIT} SELECT split, count(*) AS n_total, count(CASE WHEN p_retailprice > 950 THEN 1 END) AS n_valid, count(*) - count(CASE WHEN p_retailprice > 950 THEN 1 END) AS n_failed FROM lab GROUP BY split")
+def fingerprint_counts(spark, sf_dir):
+    bits = F.when(F.col("p_retailprice") > 950, F.array(F.lit(1)))
+    return split.fingerprint_qc(_labelled(spark, sf_dir).withColumn("bits", bits))
+
+
+@query(f"WITH {PAIR}, both_ways AS (SELECT a AS id, b AS other, distance FROM pr UNION ALL SELECT b, a, distance FROM pr), sc AS (SELECT id, round(sum(distance * (o.label + 1)) / sum(o.label + 1), 6) AS score FROM both_ways JOIN (SELECT id AS other, label FROM e) o USING (other) GROUP BY id), f AS (SELECT id, label + 1 AS size, coalesce(sum(label + 1) OVER (ORDER BY score DESC, id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, greatest(1, round_even((SELECT sum(label + 1) FROM e) * 0.1, 0)) AS t FROM sc JOIN e USING (id)) SELECT id, CASE WHEN before < t THEN 'test' WHEN before - (SELECT max(before + size) FROM f WHERE before < t) < t THEN 'val' ELSE 'train' END AS split FROM f")
+def split_isolation(spark, sf_dir):
+    sized = _vectors(spark, sf_dir).withColumn("size", (F.col("label") + 1).cast("long"))
+    scores = rounded(split.isolation(sized), "score").join(sized.select("id", "size"), "id")
+    total = sized.agg(F.sum("size")).first()[0]
+    return split.greedy_fill(split.isolation_ranks(scores, "id"), F.col("rank"), total).select("id", "split")
