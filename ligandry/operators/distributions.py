@@ -136,15 +136,32 @@ def histogram(df: DataFrame, column: str, bins: int = 50, clip: tuple[float, flo
     return inside.groupBy("bin").agg(F.count("*").alias("n")).select("bin", (F.col("bin") * step + low).alias("low"), ((F.col("bin") + 1) * step + low).alias("high"), "n")
 
 
-def principal_components(df: DataFrame, properties: list[str], key: str) -> DataFrame:
-    """distribution_pca_x and _y of standardised complete rows, null for the others."""
-    from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-    from pyspark.ml.functions import vector_to_array
+def with_components(df: DataFrame, properties: list[str]) -> tuple[DataFrame, list[float]]:
+    """Add distribution_pca_x and _y of standardised complete rows (null for others), and the variance each explains.
+
+    Means, deviations and the matrix of correlations are one aggregate each; the axes are theirs, so no row is moved. An axis
+    points where its largest loading is positive.
+    """
+    import numpy as np
 
     if len(properties) < 2:
         raise ValueError("needs two properties at least")
-    complete = df.select(key, *[no_nan(F.col(p)).alias(p) for p in properties]).na.drop(subset=properties)
-    vectors = VectorAssembler(inputCols=properties, outputCol="v").transform(complete)
-    scaled = StandardScaler(inputCol="v", outputCol="s", withMean=True).fit(vectors).transform(vectors)
-    points = PCA(k=2, inputCol="s", outputCol="p").fit(scaled).transform(scaled).select(key, vector_to_array("p").alias("p"))
-    return df.join(points.select(key, F.col("p")[0].alias("distribution_pca_x"), F.col("p")[1].alias("distribution_pca_y")), key, "left")
+    clean = [no_nan(F.col(p)) for p in properties]
+    whole = clean[0].isNotNull()
+    for c in clean[1:]:
+        whole = whole & c.isNotNull()
+    row = df.where(whole).agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(clean)], *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(clean)], *[F.covar_pop(a, b).alias(f"c{i}_{j}") for i, a in enumerate(clean) for j, b in enumerate(clean) if i <= j]).first()
+    n = len(clean)
+    if row["m0"] is None:
+        none = F.lit(None).cast("double")
+        return df.withColumns({"distribution_pca_x": none, "distribution_pca_y": none}), [0.0, 0.0]
+    spread = [row[f"s{i}"] or 1.0 for i in range(n)]
+    matrix = np.array([[row[f"c{min(i, j)}_{max(i, j)}"] / spread[i] / spread[j] for j in range(n)] for i in range(n)])
+    values, axes = np.linalg.eigh(matrix)
+    order = np.argsort(values)[::-1][:2]
+    columns = {}
+    for name, k in zip(("distribution_pca_x", "distribution_pca_y"), order):
+        axis = axes[:, k] * np.sign(axes[np.abs(axes[:, k]).argmax(), k])
+        point = sum(((c - F.lit(row[f"m{i}"])) * F.lit(float(axis[i] / spread[i])) for i, c in enumerate(clean)), F.lit(0.0))
+        columns[name] = F.when(whole, point)
+    return df.withColumns(columns), [float(v) for v in values[order] / max(values.sum(), 1e-12)]

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -99,14 +99,15 @@ def _blocks(shared, schema: pa.Schema, each):
     return run
 
 
-def _spread(units_bits: DataFrame) -> DataFrame:
-    known = units_bits.where("bits IS NOT NULL").select("id", "bits")
-    return known.repartition(known.sparkSession.sparkContext.defaultParallelism)
+def _spread(spark: SparkSession, rows: list) -> DataFrame:
+    """The rows collected (a bounded number), dealt to all cores: ids made up by the plan must not change between two readings."""
+    table = pa.table({"id": pa.array([r.id for r in rows], pa.int64()), "bits": pa.array([r.bits for r in rows], pa.list_(pa.int64()))})
+    return spark.createDataFrame(table).repartition(spark.sparkContext.defaultParallelism)
 
 
 def pairs(units_bits: DataFrame, max_units: int = MAX_UNITS) -> DataFrame:
     """a, b, distance of all pairs a < b of (id long, bits). Quadratic, so more than max_units are refused."""
-    found, _ = fingerprints(units_bits, max_units)
+    found, rows = fingerprints(units_bits, max_units)
     shared = units_bits.sparkSession.sparkContext.broadcast((found,))
 
     def each(held, ids, d):
@@ -114,7 +115,7 @@ def pairs(units_bits: DataFrame, max_units: int = MAX_UNITS) -> DataFrame:
         return ids[i], held[0].ids[j], d[i, j]
 
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("distance", pa.float64())])
-    return _spread(units_bits).mapInArrow(_blocks(shared, schema, each), "a long, b long, distance double")
+    return _spread(units_bits.sparkSession, rows).mapInArrow(_blocks(shared, schema, each), "a long, b long, distance double")
 
 
 def isolation(units_bits: DataFrame, max_units: int = MAX_UNITS) -> DataFrame:
@@ -129,7 +130,7 @@ def isolation(units_bits: DataFrame, max_units: int = MAX_UNITS) -> DataFrame:
         return ids, np.divide(d @ sizes, rest, out=np.zeros(len(ids)), where=rest > 0)
 
     schema = pa.schema([("id", pa.int64()), ("score", pa.float64())])
-    return _spread(units_bits).mapInArrow(_blocks(shared, schema, each), "id long, score double")
+    return _spread(units_bits.sparkSession, rows).mapInArrow(_blocks(shared, schema, each), "id long, score double")
 
 
 def nearest(units_bits: DataFrame, max_units: int = MAX_UNITS) -> DataFrame:
@@ -146,7 +147,7 @@ def nearest(units_bits: DataFrame, max_units: int = MAX_UNITS) -> DataFrame:
         return ids[i], [names[x] for x in own[i]], [names[x] for x in k], least[i, k]
 
     schema = pa.schema([("id", pa.int64()), ("query", pa.string()), ("reference", pa.string()), ("d", pa.float64())])
-    return _spread(units_bits).mapInArrow(_blocks(shared, schema, each), "id long, query string, reference string, d double")
+    return _spread(units_bits.sparkSession, rows).mapInArrow(_blocks(shared, schema, each), "id long, query string, reference string, d double")
 
 
 def nearest_summary(units_bits: DataFrame, max_units: int = MAX_UNITS) -> DataFrame:

@@ -321,10 +321,14 @@ def histogram(spark, sf_dir):
     return distributions.histogram(read(spark, sf_dir, "lineitem"), "l_extendedprice").select("bin", F.round("low", 4).alias("low"), "n")
 
 
-@query()
+@query("WITH m AS (SELECT avg(p_size) AS ma, stddev_pop(p_size) AS sa, avg(p_retailprice) AS mb, stddev_pop(p_retailprice) AS sb FROM part) SELECT p_partkey, round(abs((p_size - ma) / sa + (p_retailprice - mb) / sb) / sqrt(2), 6) AS plus, round(abs((p_size - ma) / sa - (p_retailprice - mb) / sb) / sqrt(2), 6) AS minus FROM part, m")
 def pca_coords(spark, sf_dir):
-    line = read(spark, sf_dir, "part").select("p_partkey", F.col("p_size").cast("double").alias("size"), "p_retailprice")
-    return distributions.principal_components(line, ["size", "p_retailprice"], "p_partkey").select("p_partkey", F.round(F.abs("distribution_pca_x"), 6).alias("x"), F.round(F.abs("distribution_pca_y"), 6).alias("y"))
+    """Of two standardised columns the axes are their sum and their difference; which comes first depends on their correlation."""
+    sizes = read(spark, sf_dir, "part").select("p_partkey", F.col("p_size").cast("double").alias("size"), "p_retailprice")
+    found, _ = distributions.with_components(sizes, ["size", "p_retailprice"])
+    same = sizes.agg(F.corr("size", "p_retailprice") >= 0).first()[0]
+    x, y = F.round(F.abs("distribution_pca_x"), 6), F.round(F.abs("distribution_pca_y"), 6)
+    return found.select("p_partkey", (x if same else y).alias("plus"), (y if same else x).alias("minus"))
 
 
 # Splits

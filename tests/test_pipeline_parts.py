@@ -6,7 +6,6 @@ import urllib.parse
 
 import pytest
 
-from ligandry.kernels import lite
 from ligandry.operators.assays import AssayParams
 from ligandry.operators.vocabulary import Vocabulary
 from ligandry.plans.pipeline import Config, RunContext, run_steps
@@ -61,16 +60,6 @@ def test_rest(spark):
     server.shutdown()
 
 
-def test_lite_kernel(spark):
-    assert lite.properties("c1ccccc1C(=O)O") == {"num_atoms": 9, "num_rings": 1, "c_atom_ratio": 7 / 9, "num_heteroatoms": 2, "heteroatom_ratio": 2 / 9}
-    assert lite.properties("C1CC") is None and lite.properties("") is None and lite.properties("[Na+].[Cl-]")["num_atoms"] == 2
-    assert lite.largest_fragment("CCO.Cl") == "CCO" and lite.properties("c1ccc2ccccc2c1")["num_rings"] == 2
-    df = spark.createDataFrame([("CCO",), (None,), ("INVALID(",)], "curated_smiles string")
-    assert [r.num_atoms for r in lite.with_properties(df).collect()] == [3, None, None]
-    with pytest.raises(lite.KernelUnavailable):
-        lite.with_properties(df, names=["logp"])
-
-
 def test_config_and_steps(spark, tmp_path):
     a = Config.from_dict({"assays": {"standard_type": "IC50"}, "steps": ["assays", "tokens"]})
     b = Config.from_dict({"steps": ["assays", "tokens"], "output_root": "elsewhere"})
