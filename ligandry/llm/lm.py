@@ -28,11 +28,11 @@ from .common import lean, text_chunks, texts, written
 
 #: Words known to the model: SHARE * tokens ** GROWTH (1,200 at 0.3 million tokens, 60 thousand at 5 billion).
 SHARE, GROWTH, LEAST = 8.0, 0.4, 2
-WIDTH, ORDER, NOISE, BATCH, BLOCK, RATE, SEED = 24, 3, 3, 2_048, 1 << 14, 0.15, 7
+WIDTH, ORDER, NOISE, BATCH, BLOCK, RATE, SEED = 24, 3, 3, 2_048, 1 << 17, 0.15, 7
 #: Words whose counts are broadcast beside the model's; documents of the warm start and how often it passes over them.
 HEAD, WARM_DOCS, WARM_PASSES = 1 << 16, 1_500, 2
-#: Symbols in one message of a trainer.
-ROWS = 4_096
+#: Symbols in one message of a trainer; tokens in one matrix product, whose result should stay in the cache.
+ROWS, CELLS = 4_096, 1_024
 END, RARE = 0, 1
 
 
@@ -160,13 +160,17 @@ class Model:
             t, c = target[a : a + BLOCK], before[:, a : a + BLOCK]
             h = sum(mixed[j].take(c[j], 0) for j in range(ORDER))
             own = self.of.take(t)
-            got = _chosen(h @ p["class"].T + p["class_bias"], own)
-            order = np.argsort(own, kind="stable")
-            first = np.concatenate([[0], np.flatnonzero(np.diff(own[order])) + 1, [len(t)]])
-            for i, z in zip(first[:-1].tolist(), first[1:].tolist()):
-                rows = order[i:z]
-                low = int(own[rows[0]]) * self.size
-                got[rows] += _chosen(h.take(rows, 0) @ p["symbol"][low : low + self.size].T + p["bias"][low : low + self.size], t[rows] - low)
+            got = np.concatenate([_chosen(h[i : i + CELLS] @ p["class"].T + p["class_bias"], own[i : i + CELLS]) for i in range(0, len(t), CELLS)])
+            order = np.argsort(own.astype(self.small), kind="stable")
+            own = own.take(order)
+            first = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1, [len(t)]]).tolist()
+            h, t = h.take(order, 0), t.take(order)
+            parts = []
+            for i, z in zip(first[:-1], first[1:]):
+                low = int(own[i]) * self.size
+                q, bias = p["symbol"][low : low + self.size].T, p["bias"][low : low + self.size]
+                parts += [_chosen(h[x : min(x + CELLS, z)] @ q + bias, t[x : min(x + CELLS, z)] - low) for x in range(i, z, CELLS)]
+            got[order] += np.concatenate(parts)
             out[a : a + BLOCK] = got
         return out / np.log(10)
 
@@ -182,7 +186,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def _chosen(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log of the soft maximum of each row at one place of it."""
     logits -= logits.max(1, keepdims=True)
-    own = logits[np.arange(len(at)), at].astype(np.float64)
+    own = logits.reshape(-1).take(np.arange(0, logits.size, logits.shape[1]) + at).astype(np.float64)
     np.exp(logits, out=logits)
     return own - np.log(logits.sum(1))
 
