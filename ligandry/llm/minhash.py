@@ -7,7 +7,8 @@ only, a chain instead of all pairs; pairs are confirmed on the full shingle sets
 then need no look at all. In buckets that still hold several components, pairs across them are compared: in small buckets
 first each member with its likeliest partner, then all whose signatures don't rule out the threshold. A large bucket gets
 the texts too, compares sets in place and passes on only links that join components; it is cut into tiles, so no task
-holds more than two blocks of it.
+holds more than two blocks of it, and members of its largest component aren't compared with each other. The chain of a very
+large bucket is cut too: parts are chained alone, and every RUNG-th member of a part with those of the other parts.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ ROWS, BANDS = 6, 36
 HASHES = ROWS * BANDS // 2
 #: Members from which a bucket compares sets in place; most members of it in a block of a tile.
 LARGE, TILE = 256, 2_048
+#: Members that a bucket's chain has in one task; one in RUNG of them meets those of the bucket's other parts.
+PART, RUNG = 1 << 16, 1 << 12
 _rng = np.random.default_rng(1009)
 _A = _rng.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _A32 = _A.astype(np.uint32) | np.uint32(1)
@@ -193,11 +196,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     firsts = usable.groupBy("skey").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n"), F.max(F.struct("sig", "bands")).alias("s"))
     classes = written(firsts.select("skey", "id", "n", "s.sig", "s.bands"), "classes")
     dealt = classes.select(F.explode("bands").alias("bkey"), "id", "n")
-    by_key = Window.partitionBy("bkey")
-    order = by_key.orderBy("n", "id")
-    chained = dealt.select("bkey", "id", "n", F.lag("id").over(order).alias("before"), F.lag("n").over(order).alias("n_before"), F.count("*").over(by_key).alias("m"))
-    bucketed = written(chained.where("m > 1"), "buckets")  # a member alone in its bucket meets nobody there
-    chain = written(bucketed.where("before IS NOT NULL AND before <> id").select(F.least("id", "before").alias("a"), F.greatest("id", "before").alias("b"), (F.col("n_before") * 100 >= F.col("n") * percent).alias("near")).distinct(), "chain")
+    shared = dealt.groupBy("bkey").agg(F.count("*").alias("m")).where("m > 1")  # a member alone in its bucket meets nobody there
+    met = dealt.join(shared, "bkey").withColumn("part", F.pmod(F.xxhash64("id"), F.ceil(F.col("m") / PART)))
+    order = Window.partitionBy("bkey", "part").orderBy("n", "id")
+    before_it = F.lag(F.struct("id", "n")).over(order)
+    bucketed = written(met.select("bkey", "id", "n", "m", before_it.alias("p"), F.row_number().over(order).alias("at")).select("bkey", "id", "n", "m", "at", F.col("p.id").alias("before"), F.col("p.n").alias("n_before")), "buckets")
+    rungs = bucketed.where(F.col("m") > PART).where(F.col("at") % RUNG == 1).select("bkey", "id", "n")  # link the parts of a large bucket
+    up = F.lag(F.struct("id", "n")).over(Window.partitionBy("bkey").orderBy("n", "id"))
+    rungs = rungs.select("id", "n", up.alias("p")).select("id", "n", F.col("p.id").alias("before"), F.col("p.n").alias("n_before"))
+    steps = bucketed.select("id", "n", "before", "n_before").union(rungs).where("before IS NOT NULL AND before <> id")
+    chain = written(steps.select(F.least("id", "before").alias("a"), F.greatest("id", "before").alias("b"), (F.col("n_before") * 100 >= F.col("n") * percent).alias("near")).distinct(), "chain")
     members = written(chain.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "members")
     blob_fields = "id long, blob binary"
     if members.count() <= BROADCAST_IDS:  # then only members' texts and signatures are moved
@@ -216,12 +224,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     labels = components(links)
     tried = chain.select("a", "b")
     for best_only in (True, False):
-        marked = bucketed.where("m > 2").join(labels.withColumnRenamed("node", "id"), "id", "left").select("bkey", "id", "n", "m", F.coalesce("label", "id").alias("label"))
-        several = marked.groupBy("bkey").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bkey")
-        crowded = marked.join(several, "bkey").withColumn("g", F.ceil(F.col("m") / TILE)).withColumn("r", F.pmod(F.xxhash64("id"), F.col("g")))
+        open_ = bucketed.where("m > 2") if best_only else bucketed.where(F.col("m").between(3, LARGE - 1))  # large ones are settled in the first round
+        marked = open_.select("bkey", "id", "n", "m").join(labels.withColumnRenamed("node", "id"), "id", "left").select("bkey", "id", "n", "m", F.coalesce("label", "id").alias("label"))
+        shares = marked.groupBy("bkey", "label").agg(F.count("*").alias("of"))
+        several = shares.groupBy("bkey").agg(F.count("*").alias("labels"), F.max(F.struct("of", "label")).alias("main")).where("labels > 1").select("bkey", "main")
+        crowded = marked.join(several, "bkey")
         small = crowded.where(F.col("m") < LARGE).select("bkey", F.lit(0).cast("long").alias("tile"), "id", "n", "label", F.lit(0).cast("long").alias("r"), F.lit(None).cast("binary").alias("blob"))
-        if best_only:  # large buckets are settled in this round
-            large = crowded.where(F.col("m") >= LARGE).withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("g") - 1)))
+        if best_only:
+            # the main component's blocks come first and meet the others' blocks only
+            large = crowded.where(F.col("m") >= LARGE).withColumn("is_main", F.col("label") == F.col("main.label"))
+            large = large.withColumn("g", F.ceil(F.col("main.of") / TILE)).withColumn("others", F.ceil((F.col("m") - F.col("main.of")) / TILE))
+            large = large.withColumn("r", F.when(F.col("is_main"), F.pmod(F.xxhash64("id"), F.col("g"))).otherwise(F.col("g") + F.pmod(F.xxhash64("id"), F.col("others"))))
+            large = large.withColumn("c", F.explode(F.sequence(F.when(F.col("is_main"), F.col("g")).otherwise(F.lit(0).cast("long")), F.col("g") + F.col("others") - 1)))
             small = small.union(large.withColumn("tile", F.shiftleft(F.least("r", "c"), 20) + F.greatest("r", "c")).join(blobs, "id").select("bkey", "tile", "id", "n", "label", "r", "blob"))
         sent = small.join(signatures, "id").select("bkey", "tile", "id", "n", "label", "sig", "r", "bands", "blob")
         sent = sent.repartition(parts, "bkey", "tile").sortWithinPartitions("bkey", "tile", "n", "id")

@@ -305,6 +305,9 @@ def brute_links(rows, k, percent=80):
 def test_minhash(docs, rows, empty, k, large, monkeypatch):
     monkeypatch.setattr(minhash, "LARGE", large)
     monkeypatch.setattr(minhash, "TILE", 4 if large == 3 else 2_048)
+    if large == 3:  # parts of a bucket, and texts joined by shuffle, too
+        for name, value in (("PART", 4), ("RUNG", 2), ("BROADCAST_IDS", 0)):
+            monkeypatch.setattr(minhash, name, value)
     want = brute_links(rows, k)
     got = minhash.near_duplicates(docs, shingle=k).collect()
     assert len(got) == len(rows)
@@ -316,6 +319,23 @@ def test_minhash(docs, rows, empty, k, large, monkeypatch):
     assert minhash.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize(("large", "part"), [(256, 1 << 16), (4, 8)])
+def test_buckets_of_several_components(spark, large, part, monkeypatch):
+    """Families around one text share buckets within and across the threshold."""
+    for name, value in (("LARGE", large), ("TILE", 8), ("PART", part), ("RUNG", 4)):
+        monkeypatch.setattr(minhash, name, value)
+    rng, base, rows = random.Random(8), [f"w{i}" for i in range(120)], []
+    for i in range(160):
+        words = list(base)
+        for at in rng.sample(range(120), 2 if i % 2 else rng.randrange(4, 12)):
+            words[at] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    want = brute_links(rows, 2)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2).collect()}
+    assert got == want
+    assert 1 < len({c for _, c in want.values()}) < 160
+
+
 def test_components_beyond_one_task(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(40)] + [(rng.randrange(50, 90), rng.randrange(50, 90)) for _ in range(30)] + [(7, 7)]
