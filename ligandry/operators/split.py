@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 from pyspark.sql.window import Window
 
 #: Units beyond which all-pairs work must be asked for.
@@ -44,113 +46,137 @@ def isolation_ranks(scores: DataFrame, pos: str = "pos") -> DataFrame:
     return scores.withColumn("rank", F.struct(-F.col("score"), -F.col(pos)))
 
 
-class Fingerprints:
-    """Packed fingerprints of a bounded number of units as one 0/1 matrix, compared in blocks of matrix products."""
+def _unpacked(column: pa.ChunkedArray) -> np.ndarray:
+    """A 0/1 matrix of the packed words, a row for each unit."""
+    words = column.combine_chunks().flatten().to_numpy().astype(np.int64).reshape(len(column), -1)
+    return np.unpackbits(np.ascontiguousarray(words).view(np.uint8), axis=1).astype(np.float32)
 
-    def __init__(self, ids: list, packed: np.ndarray):
-        self.ids = np.array(ids)
-        self.bits = _unpacked(packed)
-        self.counts = self.bits.sum(1)
 
-    def distances(self, packed: np.ndarray) -> np.ndarray:
-        """1 - Tanimoto of each row to all units; 1 where neither has a bit."""
-        bits = _unpacked(packed)
-        both = (bits @ self.bits.T).astype(np.float64)
-        either = bits.sum(1)[:, None] + self.counts - both
-        return 1 - np.divide(both, either, out=np.zeros_like(both, np.float64), where=either > 0)
+def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """1 - Tanimoto of each row of x to each of y, both of 0 and 1; 1 where neither has a bit."""
+    both = x @ y.T
+    either = x.sum(1)[:, None] + y.sum(1) - both
+    shared = np.divide(both, np.maximum(either, 1, out=either), dtype=np.float64)
+    return np.subtract(1, shared, out=shared)
 
 
-def _unpacked(packed: np.ndarray) -> np.ndarray:
-    return np.unpackbits(np.ascontiguousarray(packed).view(np.uint8), axis=1).astype(np.float32)
+#: Units of a block: two blocks make a tile, the work on one group of rows. Of a tile's pairs ROWS x BLOCK are held at once.
+BLOCK, ROWS = 4096, 256
+#: The same where every pair is a row of the result, which a tile returns at once.
+PAIR_BLOCK = 1024
 
 
-def _packed(column: pa.ListArray) -> np.ndarray:
-    lists = column.flatten().to_numpy().astype(np.int64)
-    return lists.reshape(len(column), -1) if len(column) else lists.reshape(0, 1)
+def _tiles(units_bits: DataFrame, schema: str, each, max_units: int | None, extra: tuple[str, ...] = (), block: int = BLOCK) -> DataFrame:
+    """What each(left, right) returns for each two blocks of units (a block with itself: right is None), tables of id, bits and extra.
 
-
-def fingerprints(units_bits: DataFrame, max_units: int = MAX_UNITS, extra: tuple[str, ...] = ()) -> tuple[Fingerprints, list]:
-    """The units (id, bits) and their rows, ordered by id. More than max_units are refused, so both are bounded."""
-    rows = units_bits.where("bits IS NOT NULL").select("id", "bits", *extra).limit(max_units + 1).collect()
-    if len(rows) > max_units:
+    A unit's block follows from its id, and a tile gets its units by shuffle, so nothing is held but two blocks. Work grows
+    with the square of the units, what is shuffled with that square over block; more than max_units (None: any number) are refused.
+    """
+    spark = units_bits.sparkSession
+    rows = units_bits.where("bits IS NOT NULL").select("id", "bits", *extra)
+    n, least, most = rows.agg(F.count("*"), F.min(F.size("bits")), F.max(F.size("bits"))).first()
+    if max_units is not None and n > max_units:
         raise ValueError(f"more than {max_units} units make too many pairs")
-    if len({len(r.bits) for r in rows}) > 1:
+    if least != most:
         raise ValueError("fingerprints differ in length")
-    rows.sort(key=lambda r: r.id)
-    return Fingerprints([r.id for r in rows], np.array([r.bits for r in rows], np.int64).reshape(len(rows), -1)), rows
-
-
-#: Units compared in one matrix product.
-BLOCK = 512
-
-
-def _blocks(shared, schema: pa.Schema, each):
-    """A kernel that gives each block's (held, ids, distances) to each() and yields its columns."""
+    k = max(1, -(-n // block))
+    own = F.pmod(F.xxhash64("id"), F.lit(k)).cast("int")
+    dealt = rows.select("*", own.alias("_own"), F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_other"))
+    dealt = dealt.withColumn("_i", F.least("_own", "_other")).withColumn("_j", F.greatest("_own", "_other")).drop("_other")
+    kind = to_arrow_schema(_parse_datatype_string(schema))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared.value
-        for batch in batches:
-            for a in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(a, BLOCK)
-                ids = part.column(0).to_numpy(zero_copy_only=False)
-                columns = each(held, ids, held[0].distances(_packed(part.column(1))))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+    def tile(key: tuple, held: pa.Table) -> pa.Table:
+        i, j = (x.as_py() for x in key)
+        left = held.filter(pc.equal(held["_own"], i))
+        columns = each(left, held.filter(pc.equal(held["_own"], j)) if i < j else None)
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind)], names=kind.names)
 
-    return run
+    parts = min(k * (k + 1) // 2, 32 * spark.sparkContext.defaultParallelism)
+    return dealt.repartition(parts, "_i", "_j").groupBy("_i", "_j").applyInArrow(tile, schema)
 
 
-def _spread(spark: SparkSession, rows: list) -> DataFrame:
-    """The rows collected (a bounded number), dealt to all cores: ids made up by the plan must not change between two readings."""
-    table = pa.table({"id": pa.array([r.id for r in rows], pa.int64()), "bits": pa.array([r.bits for r in rows], pa.list_(pa.int64()))})
-    return spark.createDataFrame(table).repartition(spark.sparkContext.defaultParallelism)
+def _ids(units: pa.Table) -> np.ndarray:
+    return units["id"].to_numpy()
 
 
-def pairs(units_bits: DataFrame, max_units: int = MAX_UNITS) -> DataFrame:
-    """a, b, distance of all pairs a < b of (id long, bits). Quadratic, so more than max_units are refused."""
-    found, rows = fingerprints(units_bits, max_units)
-    shared = units_bits.sparkSession.sparkContext.broadcast((found,))
+def pairs(units_bits: DataFrame, max_units: int | None = MAX_UNITS) -> DataFrame:
+    """a, b, distance of all pairs a < b of (id long, bits). Quadratic, so more than max_units (None: any number) are refused."""
 
-    def each(held, ids, d):
-        i, j = np.nonzero(ids[:, None] < held[0].ids)
-        return ids[i], held[0].ids[j], d[i, j]
+    def each(left, right):
+        x, bits = _ids(left), _unpacked(left["bits"])
+        if right is None:
+            i, j = np.nonzero(x[:, None] < x)
+            return x[i], x[j], distances(bits, bits)[i, j]
+        y = _ids(right)
+        return np.minimum.outer(x, y).ravel(), np.maximum.outer(x, y).ravel(), distances(bits, _unpacked(right["bits"])).ravel()
 
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("distance", pa.float64())])
-    return _spread(units_bits.sparkSession, rows).mapInArrow(_blocks(shared, schema, each), "a long, b long, distance double")
+    return _tiles(units_bits, "a long, b long, distance double", each, max_units, block=PAIR_BLOCK)
 
 
-def isolation(units_bits: DataFrame, max_units: int = MAX_UNITS) -> DataFrame:
+def isolation(units_bits: DataFrame, max_units: int | None = MAX_UNITS) -> DataFrame:
     """id, score of units (id long, bits, size): mean distance to all other molecules, weighted by unit size; 0 for a unit alone."""
-    found, rows = fingerprints(units_bits, max_units, ("size",))
-    shared = units_bits.sparkSession.sparkContext.broadcast((found, np.array([r.size for r in rows], np.float64)))
 
-    def each(held, ids, d):
-        sizes = held[1]
-        d[ids[:, None] == held[0].ids] = 0
-        rest = sizes.sum() - sizes[np.searchsorted(held[0].ids, ids)]
-        return ids, np.divide(d @ sizes, rest, out=np.zeros(len(ids)), where=rest > 0)
-
-    schema = pa.schema([("id", pa.int64()), ("score", pa.float64())])
-    return _spread(units_bits.sparkSession, rows).mapInArrow(_blocks(shared, schema, each), "id long, score double")
-
-
-def nearest(units_bits: DataFrame, max_units: int = MAX_UNITS) -> DataFrame:
+    def each(left, right):
+        other = left if right is None else right
+        x, bits, size = _ids(left), _unpacked(left["bits"]), left["size"].to_numpy().astype(np.float64)
+        y, other_bits, other_size = _ids(other), _unpacked(other["bits"]), other["size"].to_numpy().astype(np.float64)
+        far, rest, back = np.zeros(len(x)), np.full(len(x), other_size.sum()), np.zeros(len(y))
+        for a in range(0, len(x), ROWS):
+            here = slice(a, a + ROWS)
+            d = distances(bits[here], other_bits)
+            if right is None:
+                same = x[here, None] == y
+                d[same] = 0
+                rest[here] -= same @ other_size
+            else:
+                back += size[here] @ d
+            far[here] = d @ other_size
+        if right is None:
+            return x, far, rest
+        return np.concatenate([x, y]), np.concatenate([far, back]), np.concatenate([rest, np.full(len(y), size.sum())])
+
+    parts = _tiles(units_bits, "id long, far double, rest double", each, max_units, ("size",))
+    found = parts.groupBy("id").agg(F.sum("far").alias("far"), F.sum("rest").alias("rest"))
+    return found.select("id", F.when(F.col("rest") > 0, F.col("far") / F.col("rest")).otherwise(0.0).alias("score"))
+
+
+def nearest(units_bits: DataFrame, max_units: int | None = MAX_UNITS) -> DataFrame:
     """id, query, reference, d of rows (id long, bits, split): the distance to the nearest other row of each split."""
-    found, rows = fingerprints(units_bits, max_units, ("split",))
-    names = sorted({r.split for r in rows})
-    shared = units_bits.sparkSession.sparkContext.broadcast((found, np.array([names.index(r.split) for r in rows], np.int64)))
-
-    def each(held, ids, d):
-        d[ids[:, None] == held[0].ids] = np.inf
-        own = held[1][np.searchsorted(held[0].ids, ids)]
-        least = np.stack([d[:, held[1] == k].min(1, initial=np.inf) for k in range(len(names))], 1)
-        i, k = np.nonzero(np.isfinite(least))
-        return ids[i], [names[x] for x in own[i]], [names[x] for x in k], least[i, k]
-
-    schema = pa.schema([("id", pa.int64()), ("query", pa.string()), ("reference", pa.string()), ("d", pa.float64())])
-    return _spread(units_bits.sparkSession, rows).mapInArrow(_blocks(shared, schema, each), "id long, query string, reference string, d double")
 
+    def ordered(units):
+        units = units.sort_by("split")
+        names, first = np.unique(np.array(units["split"].to_pylist(), object), return_index=True)
+        return _ids(units), _unpacked(units["bits"]), names, [slice(a, b) for a, b in zip(first, [*first[1:], len(units)])]
 
-def nearest_summary(units_bits: DataFrame, max_units: int = MAX_UNITS) -> DataFrame:
+    def listed(ids, own, spans, names, least):
+        i, k = np.nonzero(np.isfinite(least))
+        query = np.repeat(own, [s.stop - s.start for s in spans])
+        return ids[i], query[i], names[k], least[i, k]
+
+    def each(left, right):
+        x, bits, names, spans = ordered(left)
+        y, other_bits, other_names, other_spans = ordered(right) if right is not None else (x, bits, names, spans)
+        least, back = np.full((len(x), len(other_names)), np.inf), np.full((len(y), len(names)), np.inf)
+        for k, span in enumerate(spans):
+            for a in range(span.start, span.stop, ROWS):
+                here = slice(a, min(a + ROWS, span.stop))
+                d = distances(bits[here], other_bits)
+                if right is None:
+                    d[x[here, None] == y] = np.inf
+                else:
+                    np.minimum(back[:, k], d.min(0, initial=np.inf), out=back[:, k])
+                for m, other in enumerate(other_spans):
+                    least[here, m] = d[:, other].min(1)
+        found = listed(x, names, spans, other_names, least)
+        if right is None:
+            return found
+        return [np.concatenate(c) for c in zip(found, listed(y, other_names, other_spans, names, back))]
+
+    parts = _tiles(units_bits, "id long, query string, reference string, d double", each, max_units, ("split",))
+    return parts.groupBy("id", "query", "reference").agg(F.min("d").alias("d"))
+
+
+def nearest_summary(units_bits: DataFrame, max_units: int | None = MAX_UNITS) -> DataFrame:
     """For each pair of splits: how far the rows of the first are from their nearest one in the second."""
     found = nearest(units_bits, max_units)
     return found.groupBy("query", "reference").agg(F.avg("d").alias("mean"), F.percentile("d", 0.5).alias("median"), F.percentile("d", 0.1).alias("p10"), F.percentile("d", 0.9).alias("p90"), F.count("*").alias("n"))

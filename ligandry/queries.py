@@ -410,7 +410,7 @@ def tanimoto_pairs(spark, sf_dir):
 @query(f"WITH {PAIR}, both_ways AS (SELECT a AS id, b AS other, distance FROM pr UNION ALL SELECT b, a, distance FROM pr) SELECT id, round(sum(distance * (o.label + 1)) / sum(o.label + 1), 6) AS score FROM both_ways JOIN (SELECT id AS other, label FROM e) o USING (other) GROUP BY id")
 def isolation_scores(spark, sf_dir):
     sized = _vectors(spark, sf_dir).withColumn("size", (F.col("label") + 1).cast("long"))
-    return rounded(split.isolation(sized), "score")
+    return rounded(split.isolation(sized, None), "score")
 
 
 @query(f"""WITH {PAIR}, l AS (SELECT id, CASE WHEN label = 0 THEN 'test' WHEN label = 1 THEN 'val' ELSE 'train' END AS split FROM e), w AS (SELECT a, b, distance FROM pr UNION ALL SELECT b, a, distance FROM pr),

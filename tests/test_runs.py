@@ -152,3 +152,29 @@ def test_plot_data(spark):
     got = report.plot_data(spark.range(1000).select(F.col("id").cast("double").alias("v")), "v", 10, 9)
     assert sum(b["n"] for b in got["histogram"]) == 980 and len(got["qq"]) == 9 and got["qq"][4][1] == pytest.approx(499.5)
     assert isinstance(RunContext().results, dict)
+
+
+@pytest.fixture(scope="module")
+def many_units(spark):
+    """More units than a tile holds and than are compared unasked (one word, size, split), and the distances of some of them to all."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    words, size = rng.integers(-(2**63), 2**63 - 1, 10_400), rng.integers(1, 5, 10_400)
+    words[:50], words[50] = words[0], 0
+    rows = [(i, [int(w)], int(n), "xyz"[i % 7 % 3]) for i, (w, n) in enumerate(zip(words, size))]
+    bits = np.unpackbits(words.view(np.uint8).reshape(-1, 8), axis=1).astype(np.float64)
+    some = [*range(0, 60, 7), 50, *range(99, 10_400, 99)]
+    both = bits[some] @ bits.T
+    distances = dict(zip(some, 1 - both / np.maximum(bits[some].sum(1)[:, None] + bits.sum(1) - both, 1)))
+    return spark.createDataFrame(rows, "id long, bits array<long>, size long, split string"), distances, size
+
+
+def test_isolation_of_any_number_of_units(spark, many_units):
+    df, distances, size = many_units
+    got = {r.id: r.score for r in split.isolation(df, None).collect()}
+    assert len(got) == len(size)
+    for i, d in distances.items():
+        assert got[i] == pytest.approx((d @ size - d[i] * size[i]) / (size.sum() - size[i]), abs=1e-12)
+    alone = split.isolation(df.where("id = 9"), None).collect()
+    assert [(r.id, r.score) for r in alone] == [(9, 0.0)] and split.isolation(df.where("id < 0"), None).count() == 0
