@@ -418,7 +418,7 @@ n AS (SELECT w.a, x.split AS query, y.split AS reference, min(distance) AS d FRO
 SELECT query, reference, round(avg(d), 6) AS mean, round(quantile_cont(d, 0.5), 6) AS median, round(quantile_cont(d, 0.1), 6) AS p10, round(quantile_cont(d, 0.9), 6) AS p90, count(*) AS n FROM n GROUP BY ALL""")
 def nn_distances(spark, sf_dir):
     label = F.when(F.col("label") == 0, "test").when(F.col("label") == 1, "val").otherwise("train")
-    return rounded(split.nearest_summary(_vectors(spark, sf_dir).withColumn("split", label)), "mean", "median", "p10", "p90")
+    return rounded(split.nearest_summary(_vectors(spark, sf_dir).withColumn("split", label), None), "mean", "median", "p10", "p90")
 
 
 @query(f"WITH {SPLIT} SELECT split, round(avg(p_retailprice), 6) AS mean, round(stddev_pop(p_retailprice), 6) AS std, count(p_retailprice) AS n FROM lab GROUP BY split")

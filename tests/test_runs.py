@@ -178,3 +178,18 @@ def test_isolation_of_any_number_of_units(spark, many_units):
         assert got[i] == pytest.approx((d @ size - d[i] * size[i]) / (size.sum() - size[i]), abs=1e-12)
     alone = split.isolation(df.where("id = 9"), None).collect()
     assert [(r.id, r.score) for r in alone] == [(9, 0.0)] and split.isolation(df.where("id < 0"), None).count() == 0
+
+
+def test_nearest_of_any_number_of_units(spark, many_units):
+    import numpy as np
+
+    df, distances, _ = many_units
+    got = {(r.id, r.reference): r.d for r in split.nearest(df, None).collect()}
+    assert len(got) == 3 * df.count()
+    of = np.array(["xyz"[i % 7 % 3] for i in range(df.count())])
+    for i, d in distances.items():
+        d = np.where(np.arange(len(d)) == i, np.inf, d)
+        for s in "xyz":
+            assert got[i, s] == d[of == s].min()
+    summary = {(r.query, r.reference): r.n for r in split.nearest_summary(df, None).collect()}
+    assert summary == {(q, r): int((of == q).sum()) for q in "xyz" for r in "xyz"}
