@@ -501,6 +501,6 @@ def fingerprint_counts(spark, sf_dir):
 @query(f"WITH {PAIR}, both_ways AS (SELECT a AS id, b AS other, distance FROM pr UNION ALL SELECT b, a, distance FROM pr), sc AS (SELECT id, round(sum(distance * (o.label + 1)) / sum(o.label + 1), 6) AS score FROM both_ways JOIN (SELECT id AS other, label FROM e) o USING (other) GROUP BY id), f AS (SELECT id, label + 1 AS size, coalesce(sum(label + 1) OVER (ORDER BY score DESC, id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, greatest(1, round_even((SELECT sum(label + 1) FROM e) * 0.1, 0)) AS t FROM sc JOIN e USING (id)) SELECT id, CASE WHEN before < t THEN 'test' WHEN before - (SELECT max(before + size) FROM f WHERE before < t) < t THEN 'val' ELSE 'train' END AS split FROM f")
 def split_isolation(spark, sf_dir):
     sized = _vectors(spark, sf_dir).withColumn("size", (F.col("label") + 1).cast("long"))
-    scores = rounded(split.isolation(sized), "score").join(sized.select("id", "size"), "id")
+    scores = rounded(split.isolation(sized, None), "score").join(sized.select("id", "size"), "id")
     total = sized.agg(F.sum("size")).first()[0]
     return split.greedy_fill(split.isolation_ranks(scores, "id"), F.col("rank"), total).select("id", "split")

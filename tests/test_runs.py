@@ -10,6 +10,7 @@ from ligandry import cli
 from ligandry.operators import distributions, split
 from ligandry.plans import pipeline, report, stages
 from ligandry.plans.pipeline import TEMPLATES, Config, RunContext
+from ligandry.queries import QUERIES
 from tests.test_functions import ACTIVITY, activity
 
 SMILES = ["Cc1ccccc1", "CCc1ccccc1", "Oc1ccccc1", "c1ccc2ccccc2c1", "Cc1ccc2ccccc2c1", "C1CCCCC1", "CC1CCCCC1", "c1ccncc1", "c1ccc(cc1)-c1ccccc1", "CCO", "CCCC", "bad("]
@@ -193,3 +194,18 @@ def test_nearest_of_any_number_of_units(spark, many_units):
             assert got[i, s] == d[of == s].min()
     summary = {(r.query, r.reference): r.n for r in split.nearest_summary(df, None).collect()}
     assert summary == {(q, r): int((of == q).sum()) for q in "xyz" for r in "xyz"}
+
+
+def test_queries_on_more_units_than_compared_unasked(spark, many_units, tmp_path):
+    df, _, _ = many_units
+    signs = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda k: F.when(F.call_function("shiftright", F.col("bits")[0], k).bitwiseAND(1) == 1, 1.0).otherwise(-1.0).cast("float"))
+    df.select(F.col("id").alias("vec_id"), signs.alias("embedding"), (F.col("size") - 1).cast("int").alias("label")).write.parquet(str(tmp_path / "embeddings.parquet"))
+    sizes = dict(df.select("id", "size").collect())
+    scores = {r.id: r.score for r in QUERIES["isolation_scores"](spark, str(tmp_path)).collect()}
+    got = {r.id: r.split for r in QUERIES["split_isolation"](spark, str(tmp_path)).collect()}
+    share, at, known = round(sum(sizes.values()) * 0.1), {"test": 0, "val": 0}, {}
+    for i in sorted(sizes, key=lambda i: (scores[i], i), reverse=True):
+        known[i] = next((s for s in at if at[s] < share), "train")
+        if known[i] in at:
+            at[known[i]] += sizes[i]
+    assert got == known
