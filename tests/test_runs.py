@@ -209,3 +209,15 @@ def test_queries_on_more_units_than_compared_unasked(spark, many_units, tmp_path
         if known[i] in at:
             at[known[i]] += sizes[i]
     assert got == known
+
+
+def test_pairs_of_any_number_of_units(spark, many_units):
+    df, distances, size = many_units
+    some = [*distances][:3] + [50, 9999]
+    of = [F.sum(F.when((F.col("a") == i) | (F.col("b") == i), F.col("distance"))) for i in some]
+    n, ordered, *sums = split.pairs(df, None).agg(F.count("*"), F.count_if(F.col("a") < F.col("b")), *of).first()
+    assert n == ordered == len(size) * (len(size) - 1) // 2
+    assert sums == pytest.approx([distances[i].sum() - distances[i][i] for i in some])
+    few = split.pairs(df.where("id < 2200"), None).where(F.col("a").isin(*some) | F.col("b").isin(*some)).collect()
+    got = {(r.a, r.b): r.distance for r in few}
+    assert len(few) == len(got) and got == {(min(i, j), max(i, j)): distances[i][j] for i in some if i < 2200 for j in range(2200) if i != j}
