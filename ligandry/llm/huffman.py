@@ -23,6 +23,8 @@ from . import tokens
 from .common import drop, lean, list_column, scratch, shuffle_partitions, texts, workdir
 
 MAGIC, BLOCK, LIMIT, SEGMENT = b"LHF1", 512, 17, 1 << 20
+#: Tokens coded at a time, a multiple of BLOCK, and documents counted at a time: what they need stays in the cache.
+CHUNK, COUNTED = 64 * BLOCK, 64
 _HEAD = struct.Struct("<4sIQIQ")  # magic, documents, tokens, blocks, bits
 
 
@@ -82,20 +84,23 @@ def decode_table(lengths: np.ndarray) -> tuple[int, np.ndarray]:
 
 def encode_segment(doc_sizes: np.ndarray, ids: np.ndarray, book: np.ndarray) -> bytes:
     """book: for each id its code, shifted left by 8, and the code's length (at most 32)."""
-    code = book[ids]
-    size = (code & np.uint64(255)).astype(np.int64)
-    code >>= np.uint64(8)
-    ends = np.cumsum(size)
-    starts, bits = ends - size, int(ends[-1]) if len(ends) else 0
-    words = np.zeros((bits + 31) // 32 + 1, np.uint32)
-    if len(ids):
+    words, offsets, bits = np.zeros(len(ids) + 2, np.uint32), [], 0
+    for a in range(0, len(ids), CHUNK):
+        code = book[ids[a : a + CHUNK]]
+        size = (code & np.uint64(255)).astype(np.int64)
+        code >>= np.uint64(8)
+        ends = np.cumsum(size)
+        ends += bits
+        starts, bits = ends - size, int(ends[-1])
         word = starts >> 5
         code <<= (64 - (starts & 31) - size).astype(np.uint64)  # in place in the 64 bits from its first word on
         first = np.concatenate([[0], np.flatnonzero(np.diff(word)) + 1])
         joined, at = np.bitwise_or.reduceat(code, first), word[first]
         words[at] |= (joined >> np.uint64(32)).astype(np.uint32)
         words[at + 1] |= joined.astype(np.uint32)
-    offsets = starts[::BLOCK].astype("<u8")
+        offsets.append(starts[::BLOCK])
+    words = words[: (bits + 31) // 32 + 1]
+    offsets = np.concatenate([np.empty(0, np.int64), *offsets]).astype("<u8")
     return _HEAD.pack(MAGIC, len(doc_sizes), len(ids), len(offsets), bits) + doc_sizes.astype("<u4").tobytes() + offsets.tobytes() + words.astype(">u4").tobytes()
 
 
@@ -135,10 +140,11 @@ def _tokenise(path: str, end_id: int):
             ids = [np.concatenate([enc.ids(t), end]) for t in batch.column(1).to_pylist()]
             if not ids:
                 continue
-            got = np.bincount(np.concatenate(ids))
-            if len(got) > len(total):
-                total = np.pad(total, (0, len(got) - len(total)))
-            total[: len(got)] += got
+            for a in range(0, len(ids), COUNTED):
+                got = np.bincount(np.concatenate(ids[a : a + COUNTED]))
+                if len(got) > len(total):
+                    total = np.pad(total, (0, len(got) - len(total)))
+                total[: len(got)] += got
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.astype(kind).tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int32()), pa.nulls(len(ids), pa.binary())], schema=_TOKENISED)
         if total.any():
             yield pa.RecordBatch.from_pylist([{"counts": total.astype("<i8").tobytes()}], schema=_TOKENISED)

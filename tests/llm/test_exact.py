@@ -330,3 +330,16 @@ def test_scratch_is_released(spark, tmp_path):
     common.release(spark, before, keep=b)
     assert common.scratch_tables() == before + 1 and b.count() == 1
     common.release(spark, before)
+
+
+def test_segments_across_coding_steps():
+    import numpy as np
+
+    from ligandry.llm import huffman
+
+    ids = np.random.default_rng(3).geometric(0.01, 2 * huffman.CHUNK + 700).astype(np.uint32)
+    lengths = huffman.code_lengths(np.bincount(ids))
+    book, table = huffman.code_book(lengths), huffman.decode_table(lengths)
+    for n in (0, 1, huffman.CHUNK - 1, huffman.CHUNK, huffman.CHUNK + 1, len(ids)):
+        sizes, got = huffman.decode_segment(huffman.encode_segment(np.array([n]), ids[:n], book), table)
+        assert sizes.tolist() == [n] and (got == ids[:n]).all()
