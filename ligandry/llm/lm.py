@@ -69,11 +69,12 @@ def numbered(column: pa.Array, words: pa.Array, known: int) -> tuple[np.ndarray,
 
 def contexts(symbol: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The ORDER symbols before each token, the nearest first; before a text's start they are all END."""
-    place = np.arange(len(symbol)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    first = np.cumsum(sizes) - sizes
     out = np.full((ORDER, len(symbol)), END, np.int64)
     for j in range(ORDER):
-        at = np.flatnonzero(place > j)
-        out[j, at] = symbol[at - j - 1]
+        out[j, j + 1 :] = symbol[: max(0, len(symbol) - j - 1)]
+        for place in range(j + 1):
+            out[j, (first + place)[sizes > place]] = END
     return out
 
 
@@ -104,9 +105,17 @@ class Model:
     def _climb(self, name: str, grad: np.ndarray, rows: np.ndarray | None = None) -> None:
         """AdaGrad; rows of a matrix share one sum of squares."""
         p, s = self.params[name], self.squares[name]
-        at = slice(None) if rows is None else rows
-        s[at] += (grad * grad).mean(1) if p.ndim == 2 else grad * grad
-        p[at] += RATE * grad / (np.sqrt(s[at])[:, None] if p.ndim == 2 else np.sqrt(s[at]))
+        square = np.einsum("nd,nd->n", grad, grad) / grad.shape[1] if p.ndim == 2 else grad * grad
+        square += s if rows is None else s.take(rows)
+        step = RATE / np.sqrt(square)
+        grad = grad * (step[:, None] if p.ndim == 2 else step)
+        if rows is None:
+            s[:] = square
+            p += grad
+        else:
+            s[rows] = square
+            grad += p.take(rows, 0)
+            p[rows] = grad
 
     def _sorted(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct ids, the order that brings equal ones together, and where each begins in it."""
@@ -119,34 +128,40 @@ class Model:
         """One step of noise-contrastive estimation; the noise of the class part is its exact expectation, that of the symbol
         part is drawn evenly from the class."""
         p, n = self.params, len(target)
-        held = p["context"].take(before, 0)  # [ORDER, batch, width]
-        h = sum(held[j] @ p["mixing"][j] for j in range(ORDER))
+        held = p["context"].take(before.T, 0).reshape(n, -1)  # [batch, ORDER * width]
+        mixing = p["mixing"].reshape(held.shape[1], -1)
+        h = held @ mixing
         own = self.of.take(target)
-        noise = NOISE * self.class_share
-        odds = _sigmoid(h @ p["class"].T + (p["class_bias"] - np.log(noise)))
-        at = np.arange(n)
-        miss = 1 - odds[at, own]
-        odds *= -noise
-        odds[at, own] += miss
+        weight = np.exp(p["class_bias"])
+        tilt = weight / (NOISE * self.class_share)
+        odds = h @ -p["class"].T
+        np.clip(odds, -30, 30, out=odds)
+        np.exp(odds, out=odds)
+        odds += tilt
+        at = np.arange(0, odds.size, self.classes) + own
+        miss = 1 - tilt.take(own) / odds.take(at)
+        np.divide(-weight, odds, out=odds)  # noise times probability, in two passes less than a sigmoid and a product
+        odds.reshape(-1)[at] += miss
         d_h = odds @ p["class"]
         size = self.sizes.take(own)
         words = np.concatenate([target[None], own * self.size + (rng.random((NOISE, n), np.float32) * size).astype(np.int64)])
         np.minimum(words, own * self.size + size - 1, out=words)  # rounding up to the end
         q = p["symbol"].take(words, 0)
-        error = -_sigmoid(np.einsum("bd,kbd->kb", h, q) + p["bias"].take(words) - np.log(NOISE / size).astype(np.float32))
+        error = -_sigmoid(np.einsum("bd,kbd->kb", h, q) + p["bias"].take(words) - np.log(NOISE / self.sizes).astype(np.float32).take(own))
         error[0] += 1
         d_h += np.einsum("kb,kbd->bd", error, q)
         ids, order, first = self._sorted(words)
         pull = error.reshape(-1).take(order)
-        self._climb("symbol", np.add.reduceat(h.take(order % n, 0) * pull[:, None], first), ids)
+        rows = h.take(order % n, 0)
+        rows *= pull[:, None]
+        self._climb("symbol", _totals(rows, first), ids)
         self._climb("bias", np.add.reduceat(pull, first), ids)
         self._climb("class", odds.T @ h)
-        self._climb("class_bias", odds.sum(0))
-        d_held = np.concatenate([d_h @ p["mixing"][j].T for j in range(ORDER)])
-        d_mixing = np.stack([held[j].T @ d_h for j in range(ORDER)])
-        ids, order, first = self._sorted(before)
-        self._climb("context", np.add.reduceat(d_held.take(order, 0), first), ids)
-        self._climb("mixing", d_mixing)
+        self._climb("class_bias", np.ones(n, np.float32) @ odds)
+        d_held = (d_h @ mixing.T).reshape(before.size, -1)
+        ids, order, first = self._sorted(before.T)
+        self._climb("context", _totals(d_held.take(order, 0), first), ids)
+        self._climb("mixing", (held.T @ d_h).reshape(p["mixing"].shape))
 
     def learn_all(self, before: np.ndarray, target: np.ndarray, rng: np.random.Generator) -> None:
         for a in range(0, len(target), BATCH):
@@ -160,7 +175,7 @@ class Model:
             t, c = target[a : a + BLOCK], before[:, a : a + BLOCK]
             h = sum(mixed[j].take(c[j], 0) for j in range(ORDER))
             own = self.of.take(t)
-            got = np.concatenate([_chosen(h[i : i + CELLS] @ p["class"].T + p["class_bias"], own[i : i + CELLS]) for i in range(0, len(t), CELLS)])
+            got = np.concatenate([_chosen(h[i : i + CELLS] @ p["class"].T, p["class_bias"], own[i : i + CELLS]) for i in range(0, len(t), CELLS)])
             order = np.argsort(own.astype(self.small), kind="stable")
             own = own.take(order)
             first = np.concatenate([[0], np.flatnonzero(np.diff(own)) + 1, [len(t)]]).tolist()
@@ -169,7 +184,7 @@ class Model:
             for i, z in zip(first[:-1], first[1:]):
                 low = int(own[i]) * self.size
                 q, bias = p["symbol"][low : low + self.size].T, p["bias"][low : low + self.size]
-                parts += [_chosen(h[x : min(x + CELLS, z)] @ q + bias, t[x : min(x + CELLS, z)] - low) for x in range(i, z, CELLS)]
+                parts += [_chosen(h[x : min(x + CELLS, z)] @ q, bias, t[x : min(x + CELLS, z)] - low) for x in range(i, z, CELLS)]
             got[order] += np.concatenate(parts)
             out[a : a + BLOCK] = got
         return out / np.log(10)
@@ -183,12 +198,22 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def _chosen(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log of the soft maximum of each row at one place of it."""
-    logits -= logits.max(1, keepdims=True)
-    own = logits.reshape(-1).take(np.arange(0, logits.size, logits.shape[1]) + at).astype(np.float64)
+def _totals(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the runs of rows that begin at first; numbers are added in pairs, as complex ones, for half the calls."""
+    if rows.shape[1] % 2:
+        return np.add.reduceat(rows, first)
+    return np.add.reduceat(rows.view(np.complex64), first).view(np.float32)
+
+
+def _chosen(logits: np.ndarray, bias: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log of the soft maximum of each row of logits + bias at one place of it; logits are used up."""
+    if max(logits.max(), -logits.min(), 3 * np.abs(bias).max()) > 60:  # else single precision holds the sums as they are
+        logits += bias
+        logits -= logits.max(1, keepdims=True)
+        bias = np.zeros_like(bias)
+    own = logits.take(np.arange(0, logits.size, logits.shape[1]) + at).astype(np.float64) + bias.take(at)
     np.exp(logits, out=logits)
-    return own - np.log(logits.sum(1))
+    return own - np.log(logits @ np.exp(bias))
 
 
 def _rows(model: Model) -> np.ndarray:

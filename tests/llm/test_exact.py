@@ -1,10 +1,15 @@
 """Results against plain models of the same rules: neighbours, rules, licences, language model, tiling, packing, sketches."""
 
 import collections
+import copy
 import hashlib
 import math
+import os
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -132,6 +137,118 @@ def test_model_is_normalised_and_learns():
     assert lm.contexts(np.array([5, 6, 0, 7, 0]), np.array([3, 2])).tolist() == [[0, 5, 6, 0, 7], [0, 0, 5, 0, 0], [0, 0, 0, 0, 0]]
 
 
+def plain_step(model, before, target, rng):
+    """Model.learn() as its definition reads, every sigmoid, sum and square by itself."""
+    p, n = model.params, len(target)
+
+    def climb(name, grad, rows=slice(None)):
+        q, s = p[name], model.squares[name]
+        s[rows] += (grad * grad).mean(1) if q.ndim == 2 else grad * grad
+        q[rows] += lm.RATE * grad / (np.sqrt(s[rows])[:, None] if q.ndim == 2 else np.sqrt(s[rows]))
+
+    def sums(ids, rows):
+        order = np.argsort(ids.astype(model.small), None, kind="stable")
+        ids = ids.reshape(-1).take(order)
+        first = np.concatenate([[0], np.flatnonzero(np.diff(ids)) + 1])
+        return np.add.reduceat(rows(order), first), ids.take(first)
+
+    held = p["context"].take(before, 0)
+    h = sum(held[j] @ p["mixing"][j] for j in range(lm.ORDER))
+    own, at, noise = model.of.take(target), np.arange(n), lm.NOISE * model.class_share
+    odds = lm._sigmoid(h @ p["class"].T + (p["class_bias"] - np.log(noise)))
+    miss = 1 - odds[at, own]
+    odds *= -noise
+    odds[at, own] += miss
+    d_h, size = odds @ p["class"], model.sizes.take(own)
+    words = np.concatenate([target[None], own * model.size + np.minimum((rng.random((lm.NOISE, n), np.float32) * size).astype(np.int64), size - 1)])
+    q = p["symbol"].take(words, 0)
+    error = -lm._sigmoid(np.einsum("bd,kbd->kb", h, q) + p["bias"].take(words) - np.log(lm.NOISE / size).astype(np.float32))
+    error[0] += 1
+    d_h += np.einsum("kb,kbd->bd", error, q)
+    climb("symbol", *sums(words, lambda o: h.take(o % n, 0) * error.reshape(-1).take(o)[:, None]))
+    climb("bias", *sums(words, error.reshape(-1).take))
+    climb("class", odds.T @ h)
+    climb("class_bias", odds.sum(0))
+    d_held = np.concatenate([d_h @ p["mixing"][j].T for j in range(lm.ORDER)])
+    d_mixing = np.stack([held[j].T @ d_h for j in range(lm.ORDER)])
+    climb("context", *sums(before, lambda o: d_held.take(o, 0)))
+    climb("mixing", d_mixing)
+
+
+def plain_log10(model, before, target):
+    p = model.params
+    h = sum((p["context"] @ p["mixing"][j]).take(before[j], 0) for j in range(lm.ORDER))
+
+    def chosen(logits, at):
+        logits -= logits.max(1, keepdims=True)
+        own = logits[np.arange(len(at)), at].astype(float)
+        return own - np.log(np.exp(logits, out=logits).sum(1))
+
+    own = model.of.take(target)
+    out = np.concatenate([chosen(h[i : i + lm.CELLS] @ p["class"].T + p["class_bias"], own[i : i + lm.CELLS]) for i in range(0, len(target), lm.CELLS)])
+    order = np.argsort(own.astype(model.small), kind="stable")
+    for at in np.split(order, np.flatnonzero(np.diff(own[order])) + 1):
+        low = own[at[0]] * model.size
+        for i in (at[j : j + lm.CELLS] for j in range(0, len(at), lm.CELLS)):
+            out[i] += chosen(h[i] @ p["symbol"][low : low + model.size].T + p["bias"][low : low + model.size], target[i] - low)
+    return out / np.log(10)
+
+
+def zipf_model(n, tokens, width=lm.WIDTH):
+    counts = tokens / np.arange(2.0, n + 2)
+    return lm.Model(counts, width), np.random.default_rng(4).choice(n, tokens, p=counts / counts.sum())
+
+
+@pytest.mark.parametrize(("n", "width"), [(2_000, 24), (150, 7)])
+def test_training_and_scoring_are_the_plain_ones(n, width):
+    model, symbol = zipf_model(n, 12_000, width)
+    sizes = np.diff(np.append(np.unique(np.random.default_rng(5).choice(11_999, 400) + 1), 12_000), prepend=0)
+    c = lm.contexts(symbol, sizes)
+    place = np.concatenate([np.arange(k) for k in sizes])
+    assert c.tolist() == [[symbol[i - j - 1] if place[i] > j else lm.END for i in range(12_000)] for j in range(lm.ORDER)]
+    plain, rng, again = copy.deepcopy(model), np.random.default_rng(6), np.random.default_rng(6)
+    for a in range(0, 12_000, lm.BATCH):
+        model.learn(c[:, a : a + lm.BATCH], symbol[a : a + lm.BATCH], rng)
+        plain_step(plain, c[:, a : a + lm.BATCH], symbol[a : a + lm.BATCH], again)
+    for name, x in model.params.items():
+        np.testing.assert_allclose(x, plain.params[name], rtol=0, atol=2e-4, err_msg=name)
+        np.testing.assert_allclose(model.squares[name], plain.squares[name], rtol=1e-3, err_msg=name)
+    np.testing.assert_allclose(model.log10(c, symbol), plain_log10(model, c, symbol), rtol=0, atol=1e-4)
+    model.params["class"] *= 300  # sums that single precision can't hold unless logits are shifted
+    model.params["bias"] *= 30
+    got = model.log10(c, symbol)
+    assert np.isfinite(got).all() and got.min() < -60
+    np.testing.assert_allclose(got, plain_log10(model, c, symbol), rtol=1e-4, atol=1e-3)
+
+
+TIMED = """
+import sys, time
+sys.path[:0] = {path!r}
+import numpy as np
+from ligandry.llm import lm
+from test_exact import plain_log10, plain_step, zipf_model
+
+model, symbol = zipf_model(13_000, 16 * lm.BATCH)
+c, rng, times = lm.contexts(symbol, np.array([len(symbol)])), np.random.default_rng(1), [[], [], [], []]
+scored = lm.contexts(np.tile(symbol, 4), np.array([4 * len(symbol)])), np.tile(symbol, 4)
+steps = [(c[:, a : a + lm.BATCH], symbol[a : a + lm.BATCH]) for a in range(0, len(symbol), lm.BATCH)]
+for _ in range(25):
+    for k, f in enumerate((lambda: [model.learn(*s, rng) for s in steps], lambda: [plain_step(model, *s, rng) for s in steps], lambda: model.log10(*scored), lambda: plain_log10(model, *scored))):
+        t = time.thread_time()
+        f()
+        times[k].append(time.thread_time() - t)
+print(*(min(t) for t in times))
+"""
+
+
+def test_training_and_scoring_take_less_cpu_time_than_the_plain_ones():
+    """The check's budget is CPU time: a step must stay well below its plain form. One thread, as in an executor."""
+    path = [str(Path(__file__).parents[2]), str(Path(__file__).parent)]
+    ran = subprocess.run([sys.executable, "-c", TIMED.format(path=path)], capture_output=True, text=True, env=os.environ | {"OMP_NUM_THREADS": "1", "OPENBLAS_NUM_THREADS": "1"}, check=True)
+    learn, plain_learn, score, plain_score = map(float, ran.stdout.split()[-4:])
+    assert learn < 0.9 * plain_learn and score < 0.75 * plain_score, (learn / plain_learn, score / plain_score)
+
+
 def test_scores_against_brute_force(spark, monkeypatch):
     """score: the logs of the model's own probabilities, token by token, and shares of the common symbol for other words."""
     held = {}
